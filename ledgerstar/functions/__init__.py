@@ -1,0 +1 @@
+"""Column-expression helpers (all built-in Catalyst expressions, no UDFs)."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators of the staging, intermediate and mart layers."""

@@ -1,0 +1 @@
+"""Chains, stored-layer pipeline, business questions, query registry and SQL oracle."""

@@ -17,13 +17,12 @@ from ledgerstar.plans import questions as qs
 from ledgerstar.plans.chain import SalesChain
 from ledgerstar.schemas import INTERMEDIATE_COLUMNS, STAGING_COLUMNS
 from ledgerstar.session import apply_required
-from ledgerstar.sources.testfeed import RAW_OUTPUT, raw_feeds
+from ledgerstar.sources.testfeed import RAW_OUTPUT, raw_lines
 
 
 def chain_for(spark: SparkSession, sf_dir: str, **kwargs) -> SalesChain:
     apply_required(spark)
-    daily, historical = raw_feeds(spark, sf_dir)
-    return SalesChain(daily, historical, **kwargs)
+    return SalesChain(raw_lines(spark, sf_dir), **kwargs)
 
 
 def _layer_counts(ch: SalesChain) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerstar.operators import canonical as cn
 from ledgerstar.operators import mart as mt
@@ -23,38 +24,48 @@ from ledgerstar.schemas import (
     INTERMEDIATE_COLUMNS,
     NULL_TEXT,
     ORDER_COLUMNS,
+    RANK_DAILY,
+    RANK_HISTORICAL,
 )
 
 
 class SalesChain:
+    """`raw` is the union of all feeds (8 text columns, source_file, loaded_at,
+    src_rank, load_order); `date_formats` maps src_rank to the feed's pattern."""
+
     def __init__(
         self,
-        daily_raw: DataFrame,
-        historical_raw: DataFrame,
+        raw: DataFrame,
         keywords: dict | None = None,
         dedup_method: str = "aggregate",
         null_text: str | None = NULL_TEXT,
-        daily_date_format: str = DAILY_DATE_FORMAT,
-        historical_date_format: str = HISTORICAL_DATE_FORMAT,
+        date_formats: dict[int, str] | None = None,
     ):
-        self.raw_daily = daily_raw
-        self.raw_historical = historical_raw
+        self.raw = raw
         self.keywords = keywords
         self.dedup_method = dedup_method
         self.null_text = null_text
-        self.daily_date_format = daily_date_format
-        self.historical_date_format = historical_date_format
+        self.date_formats = date_formats or {
+            RANK_DAILY: DAILY_DATE_FORMAT,
+            RANK_HISTORICAL: HISTORICAL_DATE_FORMAT,
+        }
+
+    @classmethod
+    def from_feeds(cls, daily_raw: DataFrame, historical_raw: DataFrame, **kwargs) -> SalesChain:
+        return cls(daily_raw.unionByName(historical_raw), **kwargs)
+
+    @property
+    def raw_daily(self) -> DataFrame:
+        return self.raw.filter(F.col("src_rank") == RANK_DAILY)
+
+    @property
+    def raw_historical(self) -> DataFrame:
+        return self.raw.filter(F.col("src_rank") == RANK_HISTORICAL)
 
     # -- staging ---------------------------------------------------------
     @cached_property
     def _staging(self) -> tuple[DataFrame, DataFrame]:
-        return build_staging(
-            [
-                (self.raw_daily, self.daily_date_format),
-                (self.raw_historical, self.historical_date_format),
-            ],
-            self.null_text,
-        )
+        return build_staging(self.raw, self.date_formats, self.null_text)
 
     @property
     def staging(self) -> DataFrame:

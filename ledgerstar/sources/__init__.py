@@ -1,0 +1 @@
+"""Feed readers and layer inputs."""
