@@ -27,11 +27,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-stage task times for profiling
+        extra["spark.eventLog.enabled"] = "true"
+        extra["spark.eventLog.dir"] = os.environ["BENCH_EVENT_LOG_DIR"]
     spark = build_session(
         f"local[{cpus}]",
         app="ledgerstar-bench",
         shuffle_partitions=max(2 * cpus, 8),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra=extra,
     )
     spark.sparkContext.setLogLevel("ERROR")
     if not checkpoint_location(spark):
