@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerstar.plans import pipeline  # noqa: E402
 from ledgerstar.session import build_session, checkpoint_location  # noqa: E402
-from ledgerstar.sources.testfeed import raw_feeds  # noqa: E402
+from ledgerstar.schemas import RANK_DAILY, RANK_HISTORICAL  # noqa: E402
+from ledgerstar.sources.testfeed import raw_lines  # noqa: E402
 
 
 def main() -> None:
@@ -44,8 +45,11 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     t0 = time.time()
-    daily, historical = raw_feeds(spark, sf_dir)
-    store = pipeline.run_pipeline(spark, daily, historical, root=root, timings=timings)
+    both = raw_lines(spark, sf_dir)
+    daily = both.filter(both.src_rank == RANK_DAILY)
+    historical = both.filter(both.src_rank == RANK_HISTORICAL)
+    store = pipeline.run_pipeline(spark, daily, historical, root=root, timings=timings,
+                                  shared_input=both)
     pipeline_sec = time.time() - t0
 
     question_sec: dict[str, float] = {}
