@@ -9,7 +9,7 @@ Packages:
   sources    feed readers (CSV / per-sheet files) and the derived test feed
   functions  column expressions: text typing, keyword categories, payloads
   operators  staging, dedup, rules, canonical names, mart tables, checks
-  plans      the chained views, stored-layer pipeline, questions, registry,
+  plans      the chained views, stored-layer stages, questions, registry,
              SQL oracle
   streaming  intentionally empty (the source has no streaming behaviour)
 """

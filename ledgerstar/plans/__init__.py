@@ -1 +1 @@
-"""Chains, stored-layer pipeline, business questions, query registry and SQL oracle."""
+"""Chains, stored-layer stages, business questions, query registry and SQL oracle."""

@@ -2,7 +2,7 @@
 
 `SalesChain` wires the operators together once; every attribute is a lazy
 DataFrame, built on first access and cached on the object (the *plan*, not
-the data).  Stages that have several consumers are marked in `pipeline.py`,
+the data).  Stages that have several consumers are marked in `stages.py`,
 which stores each layer and reads it back, cutting lineage between stages.
 """
 

@@ -3,6 +3,6 @@
 The source system has no streaming behaviour at all: no watermark, window,
 state or late-data handling.  Its "daily" feed is a static file reloaded in
 full on every run, and every layer is a batch full refresh.  All of that is
-covered by the batch stages in `ledgerstar.plans.pipeline`; adding a
+covered by the batch stages in `ledgerstar.plans.stages`; adding a
 Structured Streaming path here would be an operator the source does not have.
 """
