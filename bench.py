@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerstar.plans import stages  # noqa: E402
 from ledgerstar.session import build_session, checkpoint_location  # noqa: E402
-from ledgerstar.schemas import RANK_DAILY, RANK_HISTORICAL  # noqa: E402
 from ledgerstar.sources.testfeed import raw_lines  # noqa: E402
 
 
@@ -29,6 +28,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    # throughput collector for a batch run (the JVM is the only executor here)
+    extra["spark.driver.extraJavaOptions"] = os.environ.get("BENCH_JAVA_OPTS", "-XX:+UseParallelGC")
     if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-stage task times for profiling
         extra["spark.eventLog.enabled"] = "true"
         extra["spark.eventLog.dir"] = os.environ["BENCH_EVENT_LOG_DIR"]
@@ -45,11 +46,7 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     t0 = time.time()
-    both = raw_lines(spark, sf_dir)
-    daily = both.filter(both.src_rank == RANK_DAILY)
-    historical = both.filter(both.src_rank == RANK_HISTORICAL)
-    store = stages.run_stages(spark, daily, historical, root=root, timings=timings,
-                                  shared_input=both)
+    store = stages.run_stages(spark, raw_lines(spark, sf_dir), root=root, timings=timings)
     stages_sec = time.time() - t0
 
     question_sec: dict[str, float] = {}

@@ -1,8 +1,9 @@
 """Catalog registration of published layers, and the questions as Spark SQL.
 
 `register_tables` creates one database per layer (raw, staging,
-intermediate, mart) and an external Parquet table for each published table,
-with a comment, so the layers can be queried by name:
+intermediate, mart) and, for each published table, an external Parquet table
+(or, for tables a stage writes as one route of a shared dataset, a view that
+selects that route), with a comment, so the layers can be queried by name:
 
     SELECT ... FROM mart.fact_daily_product_revenue f JOIN mart.dim_date d ...
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstar.plans.stages import LayerStore
+from ledgerstar.plans.stages import ROUTED, LayerStore
 
 TABLE_COMMENTS = {
     ("raw", "sales_daily"): "Daily feed, 1:1 text mirror; source_file names the file.",
@@ -34,8 +35,6 @@ TABLE_COMMENTS = {
     ("mart", "fact_daily_product_revenue"): "Gross, returned and net revenue per product and day.",
 }
 
-# layer in the catalog -> layer whose publish marker versions the table
-_MARKER = {"raw": None, "staging": "staging", "intermediate": "intermediate", "mart": "mart"}
 
 
 def register_tables(store: LayerStore) -> list[str]:
@@ -43,8 +42,7 @@ def register_tables(store: LayerStore) -> list[str]:
     spark = store.spark
     names = []
     for (layer, table), comment in TABLE_COMMENTS.items():
-        marker = _MARKER[layer] or f"raw_{table}"
-        version = store.published_version(marker)
+        version = store.published_version(layer)
         if version is None:
             continue
         spark.sql(
@@ -52,10 +50,22 @@ def register_tables(store: LayerStore) -> list[str]:
             f"LOCATION '{store.root}/_catalog/{layer}.db'"
         )
         name = f"{layer}.{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(
-            name, path=store.table_path(layer, table, version), source="parquet", description=comment
-        )
+        if spark.catalog.tableExists(name):
+            kind = spark.catalog.getTable(name).tableType
+            spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
+        if (layer, table) in ROUTED:
+            # one route of a dataset written by a single stage job: a view
+            # that keeps the route (partition pruning reads only its folder)
+            dataset, route, columns = ROUTED[(layer, table)]
+            path = store.dataset_path(layer, dataset, version)
+            spark.sql(
+                f"CREATE VIEW {name} COMMENT '{comment.replace(chr(39), chr(39) * 2)}' AS "
+                f"SELECT {', '.join(columns)} FROM parquet.`{path}` WHERE route = '{route}'"
+            )
+        else:
+            spark.catalog.createTable(
+                name, path=store.table_path(layer, table, version), source="parquet", description=comment
+            )
         names.append(name)
     return names
 

@@ -29,6 +29,9 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    # routed stage outputs have 2 partition values: write them with concurrent
+    # writers instead of sorting every task's rows by the route first
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
