@@ -92,3 +92,27 @@ def storage_root(spark: SparkSession, subdir: str = "ledgerstar") -> str:
             "(or pass an explicit layer root)"
         )
     return os.path.join(base, subdir) if "://" not in base else base.rstrip("/") + "/" + subdir
+
+
+def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 512 << 20,
+                 max_partitions: int = 200_000) -> dict:
+    """Shuffle sizing for a cluster run, to pass as `extra` to build_session.
+
+    Start with enough shuffle partitions that each holds about
+    `target_partition_bytes` of the largest stage input (at least three waves
+    of tasks, at most `max_partitions` so map outputs stay manageable), and
+    let adaptive execution coalesce small partitions and split skewed ones at
+    run time.  Sort-based shuffle spills, so a partition larger than memory
+    slows down but does not fail.  Example: 100 TB on 8000 cores -> 200k
+    initial partitions (~512 MB each), coalesced by AQE as stages shrink."""
+    by_size = -(-input_bytes // target_partition_bytes)
+    initial = min(max(3 * total_cores, by_size), max(max_partitions, 3 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 4),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }

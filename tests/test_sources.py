@@ -87,3 +87,24 @@ def test_large_csv_split_keeps_file_order(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "256m")
     assert got == list(range(20000))
+
+
+def test_command_line_run(spark, scratch):
+    from ledgerstar.__main__ import main
+    from ledgerstar.plans import stages
+
+    daily = os.path.join(scratch, "data.csv")
+    _write(daily, DAILY, "ISO-8859-1")
+    header = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    y1 = os.path.join(scratch, "y1.csv")
+    _write(y1, header + "536365,85123A,CAFÉ MUG,9,2010-12-01 08:26:00,2.55,17850,United Kingdom\n"
+                        "9,B,RED BALL,2,2009-12-01 07:45:00,1.0,,UK\n", "utf-8")
+    root = os.path.join(scratch, "layers")
+    assert main(["--daily", daily, "--sheet", f"Year 2009-2010={y1}", "--root", root, "--run-id", "cli"]) == 0
+    store = stages.LayerStore(spark, root)
+    clean = store.read("intermediate", "sales_transactions_clean").collect()
+    # daily line wins over the same key in the sheet; the NA-quantity line is rejected
+    assert sorted(r.invoice_no for r in clean) == ["536365", "536367", "9"]
+    assert [r.quantity for r in clean if r.invoice_no == "536365"] == [6]
+    assert store.read("staging", "rejected_records").count() == 1
+    assert spark.sql("SELECT count(*) FROM mart.dim_product").first()[0] == 3
