@@ -36,7 +36,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app="ledgerstar-bench",
-        shuffle_partitions=max(2 * cpus, 8),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2 * cpus, 8))),
         extra=extra,
     )
     spark.sparkContext.setLogLevel("ERROR")
