@@ -66,7 +66,10 @@ def main() -> None:
         "stages_sec": round(stages_sec, 3),
         "questions_sec": round(sum(question_sec.values()), 3),
         "result_rows": rows,
+        "stage_rows": {r.task_id: r.rows_processed for r in store.last_log_rows(4).collect()},
         "cpus": cpus,
+        "driver_memory": spark.conf.get("spark.driver.memory", "default"),
+        "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "spark": spark.version,
     }
     print(json.dumps(out))
