@@ -209,3 +209,14 @@ def test_null_text_option_keeps_nulls(spark):
     ch = chain(spark, [line(description=None, country=None)], null_text=None)
     r = ch.staging.first()
     assert r.description is None and r.country is None
+
+
+def test_rejected_sale_never_computes_revenue(spark):
+    """An invalid sale whose revenue would overflow decimal(14,4) is rejected,
+    not a job failure (the routed intermediate computes revenue on kept lines only)."""
+    from ledgerstar.plans.stages import routed_intermediate
+
+    ch = chain(spark, [line(quantity="2000000000", unit_price="-99999999", invoice_no="1"),
+                       line(invoice_no="2")])
+    rows = {r.invoice_no: r.route for r in routed_intermediate(ch.staging).collect()}
+    assert rows == {"1": "rejected", "2": "kept"}
