@@ -17,17 +17,12 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from ledgerstar.functions.text import WHITESPACE  # noqa: E402
-from ledgerstar.operators import canonical as cn  # noqa: E402
 from ledgerstar.operators import mart as mt  # noqa: E402
-from ledgerstar.operators import rules  # noqa: E402
-from ledgerstar.operators.dedup import first_wins  # noqa: E402
 from ledgerstar.operators.staging import routed_lines  # noqa: E402
 from ledgerstar.plans import stages  # noqa: E402
 from ledgerstar.schemas import (  # noqa: E402
     DAILY_DATE_FORMAT,
     HISTORICAL_DATE_FORMAT,
-    INTERMEDIATE_COLUMNS,
-    ORDER_COLUMNS,
     RANK_DAILY,
     RANK_HISTORICAL,
 )
@@ -72,11 +67,8 @@ def main() -> None:
     formats = {RANK_DAILY: DAILY_DATE_FORMAT, RANK_HISTORICAL: HISTORICAL_DATE_FORMAT}
     sections.append(("staging: typed lines + rejects, one projection", routed_lines(raw, formats)))
     staging = store.read("staging", "sales_transactions")
-    classified = rules.classify_returns(first_wins(staging, "dedup_key"))
-    lines = rules.categorized_lines(rules.valid_lines(classified))
-    clean = cn.attach_canonical(lines, cn.canonical_descriptions(cn.description_frequencies(lines)))
-    sections.append(("intermediate: dedup, rules, categories, canonical names",
-                     clean.select(*INTERMEDIATE_COLUMNS, *ORDER_COLUMNS)))
+    sections.append(("intermediate: dedup, rules, categories, canonical names, routed rejects",
+                     stages.routed_intermediate(staging)))
     inter = store.read("intermediate", "sales_transactions_clean")
     for name, df in mt.build_mart(inter).items():
         sections.append((f"mart: {name}", df))
