@@ -82,6 +82,18 @@ def main() -> None:
         "Final adaptive plans: `*(n)` marks whole-stage codegen, `AQEShuffleRead` a coalesced",
         "shuffle, `BroadcastQueryStage` a broadcast chosen after measuring the side at run time.",
         "",
+        "What to look for:",
+        "",
+        "* extract: `SortMergeJoin [l_orderkey]` over lineitem hash-partitioned on that key (no broadcast",
+        "  of lineitem); the feed fan-out (`Generate explode`) inside the same codegen span.",
+        "* staging: one projection per feed, no exchange; the parse columns (`_inv`, `_code`, `_ts`) are",
+        "  computed once below the flag and the typed values; `PartitionFilters` pick each raw route.",
+        "* intermediate: `partial_min` before the `dedup_key` exchange (hot keys collapse map-side); the",
+        "  canonical branch reads a `ReusedExchange` of that shuffle; the canonical table reaches the join",
+        "  as a `BroadcastQueryStage` only after its size was measured.",
+        "* mart and questions: partial aggregates before every exchange; questions aggregate the fact to",
+        "  the join key before joining a dimension; scans read only the columns used (`ReadSchema`).",
+        "",
     ]
     for title, df in sections:
         lines_out += [f"## {title}", "", "```", tree(df), "```", ""]
