@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from .bottomk import op7_query
+from .chat_format import OP8_SQL, op8_query
 from .curriculum import OP9_SQL, op9_query
 from .hilbert import op2_query
+from .sos_packing import op6_query
 from .warc_zstd import OP10_SQL, op10_query
 
 QUERIES = {
     "op2_hilbert_sharding": op2_query,
+    "op6_sum_of_squares_packing": op6_query,
+    "op7_bottomk_fingerprints": op7_query,
+    "op8_chat_format": op8_query,
     "op9_curriculum_mix": op9_query,
     "op10_warc_seekable": op10_query,
 }
 
 SQL = {
+    "op8_chat_format": OP8_SQL,
     "op9_curriculum_mix": OP9_SQL,
     "op10_warc_seekable": OP10_SQL,
 }
