@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,51 +61,47 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.bare: dict[str, list[int]] = {}
-        self.start, self.length, self.ids = [0], [1], [np.array([END_ID], np.int32)]  # number 0: the end id
-        self.size = 1
-
-    @staticmethod
-    def _split(word: str) -> tuple[str, str]:
-        """(what is encoded, the mark after it)."""
-        mark = ""
-        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
-            word, mark = word[:-1], word[-1]
-        return (word.lower() if word.isascii() and "<|" not in word else word), mark
-
-    def _numbers(self, words: list[str]) -> list[int]:
-        new = [(w, *self._split(w)) for w in words if w not in self.known]
-        need = list(dict.fromkeys(x for _, bare, mark in new for x in (bare, mark) if x not in self.bare))
-        for x, e in zip(need, self.tokenizer.encode_batch_fast(need, add_special_tokens=False), strict=True):
-            self.bare[x] = e.ids
-        ids = []
-        for word, bare, mark in new:
-            own = self.bare[bare] + self.bare[mark]
-            self.known[word] = len(self.start)
-            self.start.append(self.size)
-            self.length.append(len(own))
-            ids += own
-            self.size += len(own)
-        self.ids.append(np.array(ids, np.int32))
-        return [self.known[w] for w in words]
+        # numbers 0 to 3: the end id, nothing, a full stop, a comma
+        marks = [e.ids for e in self.tokenizer.encode_batch_fast([".", ","], add_special_tokens=False)]
+        self._lengths, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._keep([[END_ID], [], *marks])
+
+    def _keep(self, ids: list[list[int]]) -> None:
+        self._lengths = np.concatenate([self._lengths, np.fromiter(map(len, ids), np.int64, len(ids))])
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(ids), np.int32)])
+        self._starts = np.cumsum(self._lengths) - self._lengths
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, range(len(self._lengths), len(self._lengths) + len(new)), strict=True))
+        self._keep([e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _word_numbers(self, words: pa.Array) -> np.ndarray:
+        """Two numbers a word: of its bare form and of the mark after it."""
+        marked = pc.match_substring_regex(words, r"\pL[.,]$")
+        comma = pc.ends_with(words, ",")
+        bare = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        bare = pc.if_else(pc.match_substring(bare, "<|"), bare, pc.ascii_lower(bare)).dictionary_encode()
+        numbers = self._numbers(bare.dictionary.to_pylist())[bare.indices.to_numpy()]
+        marks = np.where(marked.to_numpy(zero_copy_only=False), 2 + comma.to_numpy(zero_copy_only=False), 1)
+        return np.stack([numbers, marks], axis=1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, each ended by END_ID."""
         if len(self.known) > CACHED_WORDS:
             self.forget()
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-        words = split.flatten().dictionary_encode()
         at = split.offsets.to_numpy() - split.offsets[0].as_py()
-        numbers = np.array(self._numbers(words.dictionary.to_pylist()), np.int64)
-        numbers = numbers[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-        numbers = np.insert(numbers, at[1:], 0)
-        store = np.concatenate(self.ids)
-        self.ids = [store]
-        lengths = np.asarray(self.length, np.int64)[numbers]
+        words = split.flatten().dictionary_encode()
+        numbers = np.zeros(0, np.int64)
+        if len(words):
+            numbers = self._word_numbers(words.dictionary)[words.indices.to_numpy()].ravel()
+        numbers = np.insert(numbers, 2 * at[1:], 0)
+        lengths = self._lengths[numbers]
         ends = np.cumsum(lengths)
-        ids = store[np.repeat(np.asarray(self.start, np.int64)[numbers] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        word_ends = at[1:] + np.arange(1, len(at))
-        return ids, np.concatenate([[0], ends[word_ends - 1]]) if len(at) > 1 else np.zeros(1, np.int64)
+        ids = self._ids[np.repeat(self._starts[numbers] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return ids, np.concatenate([[0], ends[2 * at[1:] + np.arange(len(at) - 1)]])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
