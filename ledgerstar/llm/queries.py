@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bottomk import op7_query
 from .chat_format import OP8_SQL, op8_query
+from .cross_polytope import op5_query
 from .curriculum import OP9_SQL, op9_query
 from .hilbert import op2_query
 from .sos_packing import op6_query
@@ -11,6 +12,7 @@ from .warc_zstd import OP10_SQL, op10_query
 
 QUERIES = {
     "op2_hilbert_sharding": op2_query,
+    "op5_cross_polytope": op5_query,
     "op6_sum_of_squares_packing": op6_query,
     "op7_bottomk_fingerprints": op7_query,
     "op8_chat_format": op8_query,
