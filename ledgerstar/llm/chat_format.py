@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .shared import partitions, table
+from .textscan import string_bytes
 
 LOSS_ROLE = "assistant"
 FOOTER = b"</turn>\n"
@@ -43,17 +44,6 @@ for _byte, _code in ESCAPES.items():
     _IS_ESCAPED[_byte], _WRITTEN[_byte] = True, _code
 
 
-def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets from 0) of a string column; null is empty."""
-    column = column.cast(pa.large_string()).fill_null("")
-    if not len(column):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    data = np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return data, offsets - offsets[0]
-
-
 def escaped(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes with a backslash scattered before every escaped one, and the
     moved offsets."""

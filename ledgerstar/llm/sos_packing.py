@@ -27,11 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .shared import table
+from .textscan import slices
 
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 1024
-SLICE_BYTES = 4 << 20
 CACHED_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
@@ -200,17 +200,6 @@ class Packer:
                 self._close(held)
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most `limit` bytes of text (one longer text alone)."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    ends, start = np.cumsum(sizes), 0
-    while start < len(sizes):
-        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right"))
-        stop = max(stop, start + 1)
-        yield start, stop
-        start = stop
-
-
 def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, max_open: int = MAX_OPEN,
            with_ids: bool = True) -> DataFrame:
     """One row per piece of docs (doc_id, text): where it starts in its
@@ -240,7 +229,7 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
         for batch in batches:
             texts = batch["text"].fill_null("")
             names = batch["doc_id"].to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4 << 20):
                 ids, at = words.encode(texts.slice(a, b - a))
                 for i in range(a, b):
                     own = ids[at[i - a]: at[i - a + 1]]
