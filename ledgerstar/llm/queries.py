@@ -6,6 +6,7 @@ from .bottomk import op7_query
 from .chat_format import OP8_SQL, op8_query
 from .cross_polytope import op5_query
 from .curriculum import OP9_SQL, op9_query
+from .ecoc_langid import op4_query
 from .hilbert import op2_query
 from .jaccard_join import op1_query
 from .sos_packing import op6_query
@@ -14,6 +15,7 @@ from .warc_zstd import OP10_SQL, op10_query
 QUERIES = {
     "op1_ngram_jaccard_join": op1_query,
     "op2_hilbert_sharding": op2_query,
+    "op4_ecoc_language_id": op4_query,
     "op5_cross_polytope": op5_query,
     "op6_sum_of_squares_packing": op6_query,
     "op7_bottomk_fingerprints": op7_query,
