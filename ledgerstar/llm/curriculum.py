@@ -112,11 +112,11 @@ def first_words(text, words):
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: documents, one row per pass, in training order, the cut
     ones with their first words only; the columns of the input."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    sized = docs.withColumn("_mix_size", word_count(F.col("text")))
-    mix = range_sorted(occurrences(mixed(sized, size="_mix_size"), "_mix_size"), "position", "doc_id", "epoch")
-    cut = F.when(F.col("take_words") < F.col("_mix_size"), first_words(F.col("text"), F.col("take_words"))).otherwise(F.col("text"))
-    return mix.withColumn("_mix_text", cut).select(*[F.col("_mix_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "source", word_count(F.col("text")).alias("_size"))
+    mix = range_sorted(occurrences(mixed(rows)), "position", "doc_id", "epoch")
+    text = F.col("_row.text")
+    cut = F.when(F.col("take_words") < F.col("_size"), first_words(text, F.col("take_words"))).otherwise(text)
+    return mix.select(*[cut.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:

@@ -176,17 +176,16 @@ def scored(docs: DataFrame, model: LanguageModel | None, text: str = "text", mar
         return kept.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("lang_score", F.lit(0.0)).withColumn("ambiguous", F.lit(True))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x bits and FEATURES x bits numbers
 
-    @F.pandas_udf("lang_pred string, lang_score double, ambiguous boolean")
-    def predict(texts):
-        import pandas as pd
-
-        m, column = sent.value, pa.array(texts, pa.string(), from_pandas=True).fill_null("")
-        parts = [m.decode(ngram_features(column.slice(a, b - a))) for a, b in slices(column, rows=256)]
-        best, top, second = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int),) * 3
-        return pd.DataFrame({"lang_pred": [m.languages[i] for i in best], "lang_score": top, "ambiguous": top < second + margin})
+    @F.arrow_udf("lang_pred string, lang_score double, ambiguous boolean")
+    def predict(texts: pa.Array) -> pa.Array:
+        m = sent.value
+        parts = [m.decode(ngram_features(texts.slice(a, b - a))) for a, b in slices(texts, rows=256)]
+        best, top, second = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0))
+        return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in best], pa.string()), pa.array(top), pa.array(top < second + margin)],
+                                          names=["lang_pred", "lang_score", "ambiguous"])
 
     letter = F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False))
-    out = kept.withColumn("_lang", F.when(letter, predict(F.col(text))))
+    out = kept.withColumn("_lang", F.when(letter, predict(F.coalesce(F.col(text), F.lit("")))))
     return out.withColumn("lang_pred", F.coalesce(F.col("_lang.lang_pred"), F.lit(UNKNOWN))).withColumn(
         "lang_score", F.coalesce(F.col("_lang.lang_score"), F.lit(0.0))).withColumn("ambiguous", F.coalesce(F.col("_lang.ambiguous"), F.lit(True))).drop("_lang")
 

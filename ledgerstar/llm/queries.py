@@ -9,12 +9,14 @@ from .curriculum import OP9_SQL, op9_query
 from .ecoc_langid import op4_query
 from .hilbert import op2_query
 from .jaccard_join import op1_query
+from .mil_quality import op3_query
 from .sos_packing import op6_query
 from .warc_zstd import OP10_SQL, op10_query
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_query,
     "op2_hilbert_sharding": op2_query,
+    "op3_attention_quality": op3_query,
     "op4_ecoc_language_id": op4_query,
     "op5_cross_polytope": op5_query,
     "op6_sum_of_squares_packing": op6_query,
