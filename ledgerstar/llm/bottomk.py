@@ -127,12 +127,11 @@ def with_next(df: DataFrame, ids: DataFrame, key: str, carried: list[str], heads
 
 def op7_query(spark, sf_dir: str, k: int = K) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    docs = with_sketch(docs, "text", "s", k)
 
     def heads_of(small: DataFrame) -> DataFrame:  # at most one key per shuffle partition
-        return docs.join(F.broadcast(small), docs.doc_id.eqNullSafe(small["_head"]), "left_semi")
+        return with_sketch(docs.join(F.broadcast(small), docs.doc_id.eqNullSafe(small["_head"]), "left_semi"), "text", "s", k)
 
-    rows = with_next(docs, table(spark, sf_dir, "documents", "doc_id"), "doc_id", ["text", "s"], heads_of)
+    rows = with_next(with_sketch(docs, "text", "s", k), table(spark, sf_dir, "documents", "doc_id"), "doc_id", ["text", "s"], heads_of)
     n = F.length("text").cast("long")
     rows = rows.withColumn("n_chars", n)
     cut = F.floor(F.col("n_chars") / 3).cast("int")

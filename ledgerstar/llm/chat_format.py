@@ -71,8 +71,9 @@ def assembled(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     text, text_at = escaped(*string_bytes(texts))
     head = np.frombuffer(b"<turn ", np.uint8)
     role_len, text_len = np.diff(role_at), np.diff(text_at)
-    ends = np.cumsum(len(head) + role_len + 1 + text_len + len(FOOTER))
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    sizes = len(head) + role_len + 1 + text_len + len(FOOTER)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
     for i, byte in enumerate(head):
         out[starts + i] = byte

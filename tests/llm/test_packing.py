@@ -1,0 +1,90 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from ledgerstar.llm.sos_packing import Packer, WordTokenizer, default_tokenizer, op6_query, packed
+
+WORDS = WordTokenizer(default_tokenizer())
+PIECE = st.sampled_from(["<|endoftext|>", "<|STARTOFTEXT|>", " ", "\n", "\x1c", "\x85", "\xa0", "Abc", "a.", ",", "'S", "don't.", "x<|startoftext|>,", "É.", "Σ.", "ﬁ", "e\u0301", "K", "İ", "9,", "日本."])
+
+
+def whole(text):
+    return WORDS.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(PIECE, st.text(max_size=8)), max_size=12).map("".join))
+def test_ids_equal_those_of_the_whole_text(text):
+    ids, at = WORDS.encode(pa.array(["x", text, None, text]).fill_null(""))
+    assert [list(ids[a:b]) for a, b in zip(at[:-1], at[1:])] == [whole("x"), whole(text), [1], whole(text)]
+
+
+def check(rows, pieces, window):
+    """Every id once, sequences without gaps, little padding."""
+    want = {}
+    for i, t in rows:
+        want.setdefault(i, []).append(whole(t))
+    by_doc = {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+        assert p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes()) and len(p.ids) == p.length
+    assert set(by_doc) == set(want)
+    for i, docs in want.items():
+        got = sorted(by_doc[i], key=lambda p: p.start)
+        if len(docs) == 1:
+            assert [x for p in got for x in p.ids] == docs[0] and all(p.doc_tokens == len(docs[0]) for p in got)
+            assert [p.start for p in got] == list(np.cumsum([0] + [p.length for p in got[:-1]]))
+        else:
+            assert sorted(x for p in got for x in p.ids) == sorted(x for d in docs for x in d)
+    sequences, padding = {}, 0
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append(p)
+    for held in sequences.values():
+        held.sort(key=lambda p: p.offset)
+        n = 0
+        for p in held:
+            assert p.offset == n
+            n += p.length
+        assert n <= window
+        padding += 0 if n & (n - 1) == 0 else window - n
+    return padding
+
+
+@pytest.mark.parametrize("window,max_open", [(64, 1024), (64, 3), (2048, 1024)])
+def test_edges(spark, documents, window, max_open):
+    rows = [(1, None), (2, ""), (3, "a"), (3, "a"), (None, "no id"), (4, "word " * 9000), (5, "z" * 20_000)] + [(10 + i, "tok " * (i * 7 % 90)) for i in range(200)]
+    pieces = packed(documents(rows), window=window, max_open=max_open).collect()
+    assert check(rows, pieces, window) == 0
+    assert packed(documents([])).collect() == []
+
+
+def test_query(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    digests = sorted(tuple(r) for r in op6_query(spark, sf).collect())
+    pieces = packed(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    assert check(rows, pieces, 2048) == 0
+    assert sorted((p.doc_id, p.start, p.length, p.ids_crc32, p.doc_tokens, p.sequence_id, p.offset) for p in pieces) == digests
+
+
+def test_level_is_the_one_of_least_squares():
+    rng = np.random.default_rng(1)
+    packer = Packer(32, 0, 10**9)
+    for k in range(400):
+        size = int(rng.integers(1, 32))
+        options = {}
+        for level in [0] + [h for h in range(1, 32) if packer.levels[h]]:
+            if level + size <= 32:
+                n = packer.levels.copy()
+                n[level] -= level > 0
+                if level + size < 32:
+                    n[level + size] += 1
+                options[level] = int((n[1:] ** 2).sum())
+        before = packer.levels.copy()
+        packer.add((k, size), np.zeros(size, np.int32))
+        assert int((packer.levels[1:] ** 2).sum()) == min(options.values()), (before, size)
+        assert (packer.levels == [len(x) for x in packer.open]).all()
+    packer.cut_open(last=True)
+    assert sum(len(p[2]) for p in packer.done) == sum(d[1] for d in {p[0] for p in packer.done})
