@@ -11,19 +11,20 @@ from .hilbert import op2_query
 from .jaccard_join import op1_query
 from .mil_quality import op3_query
 from .sos_packing import op6_query
+from .shared import shipped
 from .warc_zstd import OP10_SQL, op10_query
 
 QUERIES = {
-    "op1_ngram_jaccard_join": op1_query,
-    "op2_hilbert_sharding": op2_query,
-    "op3_attention_quality": op3_query,
-    "op4_ecoc_language_id": op4_query,
-    "op5_cross_polytope": op5_query,
-    "op6_sum_of_squares_packing": op6_query,
-    "op7_bottomk_fingerprints": op7_query,
-    "op8_chat_format": op8_query,
-    "op9_curriculum_mix": op9_query,
-    "op10_warc_seekable": op10_query,
+    "op1_ngram_jaccard_join": shipped(op1_query),
+    "op2_hilbert_sharding": shipped(op2_query),
+    "op3_attention_quality": shipped(op3_query),
+    "op4_ecoc_language_id": shipped(op4_query),
+    "op5_cross_polytope": shipped(op5_query),
+    "op6_sum_of_squares_packing": shipped(op6_query),
+    "op7_bottomk_fingerprints": shipped(op7_query),
+    "op8_chat_format": shipped(op8_query),
+    "op9_curriculum_mix": shipped(op9_query),
+    "op10_warc_seekable": shipped(op10_query),
 }
 
 SQL = {

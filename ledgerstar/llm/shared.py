@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import functools
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -84,3 +87,34 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """df without columns that clash (in any case) with names an operator adds."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, which may have no
+    copy of it; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerstar-code-"), "ledgerstar_llm.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        z.write(os.path.join(package, "__init__.py"), "ledgerstar/__init__.py")
+        for name in sorted(os.listdir(os.path.join(package, "llm"))):
+            if name.endswith(".py"):
+                z.write(os.path.join(package, "llm", name), f"ledgerstar/llm/{name}")
+    spark.sparkContext.addPyFile(archive)
+
+
+def shipped(query):
+    """The query, with the package sent to the executors before it runs."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return query(spark, *args)
+
+    return run

@@ -1,0 +1,140 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstar.llm import ecoc_langid as lang, mil_quality as mil
+
+SF = "/root/testdata/sf0.01"
+
+
+def fold(i, n):
+    return zlib.crc32(str(i).encode()) % n
+
+
+def test_language_held_out_accuracy(spark):
+    got = lang.op4_query(spark, SF).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    assert sorted(r.doc_id for r in got) == sorted(truth)
+    assert all(r.held_out == (fold(r.doc_id, 4) == 2) and 0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
+
+
+def test_quality_held_out_accuracy(spark):
+    got = {r.doc_id: r for r in mil.op3_query(spark, SF).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    assert all(r.held_out == (fold(i, 5) == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for i, r in got.items())
+    held = [r for r in labels if got[r.doc_id].held_out]
+    assert len(held) > 40 and np.mean([got[r.doc_id].predicted == r.quality for r in held]) > 0.95
+    scores = lambda q: [got[r.doc_id].score for r in held if r.quality == q]
+    assert np.mean([a > b for a in scores(1) for b in scores(0)]) > 0.97
+
+
+ROWS = [(1, None, "aa", None), (2, "", "aa", None), (3, "123 !!", "aa", None), (4, "thu thu thu", None, None), (5, "x" * 400_000, "aa", None), (None, "zaz uzz", "bb", None), (None, "zaz uzz", "bb", None)]
+ROWS += [(10 + i, "thu the tha " * (1 + i % 9), "aa", None) for i in range(60)] + [(100 + i, "zaz uzz oz " * (1 + i % 9), "bb", None) for i in range(60)] + [(200 + i, "qiq iqqi qo", "cc", None) for i in range(30)]
+
+
+def test_language_edges(spark, documents):
+    docs = documents(ROWS)
+    model = lang.trained(docs)
+    assert model.languages == ["aa", "bb", "cc"]
+    out = lang.scored(docs, model)
+    assert out.columns.count("lang_score") == 1 and "component" in out.columns
+    got = out.collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        if r.doc_id in (1, 2, 3):
+            assert (r.lang_pred, r.lang_score, r.ambiguous) == ("und", 0.0, True)
+        elif r.doc_id != 5:
+            assert r.lang_pred == {"t": "aa", "z": "bb", "q": "cc"}[r.text[0]]
+    assert lang.scored(documents([]), model).collect() == []
+    assert lang.trained(docs.where("lang IS NULL")) is None
+    assert {r.lang_pred for r in lang.scored(docs, None).collect()} == {"und"}
+    one = lang.scored(docs, lang.trained(docs.where("lang = 'bb'"))).where("doc_id > 3").collect()
+    assert {r.lang_pred for r in one} == {"bb"} and all(r.lang_score > 0.99 for r in one)
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 7, 8, 30])
+def test_codewords_are_apart(n):
+    code = lang.codewords(n)
+    assert len(code) == n and len({tuple(c) for c in code}) == (n if n > 1 else 1)
+    if n > 2:
+        apart = min((code[i] != code[j]).sum() for i in range(n) for j in range(i))
+        assert apart >= 2 and all(abs(c.sum()) < n for c in code.T)
+
+
+def test_decoding_corrects_a_wrong_bit_and_flags_doubt():
+    code = lang.codewords(5)
+    model = lang.LanguageModel(list("abcde"), code, code.T[:, :].astype(float).T * 0, np.zeros(code.shape[1]), np.full(code.shape, 1 / code.shape[1]))
+    for i in range(5):
+        for bit in range(code.shape[1]):
+            margins = 4.0 * code[i]
+            margins[bit] *= -1
+            model.b = margins
+            best, top, second = model.decode(np.zeros((1, model.w.shape[0]), np.float32))
+            assert best[0] == i and top[0] > second[0]
+    model.b = np.zeros(code.shape[1])
+    _, top, second = model.decode(np.zeros((1, model.w.shape[0]), np.float32))
+    assert top[0] < second[0] + lang.MARGIN
+
+
+def test_ngrams_do_not_span_texts():
+    alone = lang.ngram_features(pa.array(["abc def", "", "ghi", "É"]))
+    for i, t in enumerate(["abc def", "", "ghi", "É"]):
+        assert np.allclose(alone[i], lang.ngram_features(pa.array([t]))[0])
+    assert not alone[1].any() or np.isclose(np.linalg.norm(alone[1]), 1)
+
+
+def test_quality_edges(spark, documents):
+    good = [(1000 + i, "plain words make good text here and more of it " * (1 + i % 12), None, None) for i in range(80)]
+    bad = [(2000 + i, "BUY!! NOW!! ### " * (2 + i % 12), None, None) for i in range(80)]
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "w " * 200_000), (4, "w " * 200_000), (None, "text")]
+    docs = documents(rows + good + bad)
+    labels = spark.createDataFrame([(r[0], 1) for r in good] + [(r[0], 0) for r in bad] + [(1000, 0), (None, 1), (1, 1), (77777, 0), (2001, None)], "doc_id long, quality int")
+    model = mil.trained(docs, labels)
+    got = mil.scored(docs, model).collect()
+    assert len(got) == len(rows + good + bad)
+    for r in got:
+        assert 0 <= r.quality_score <= 1
+        if r.doc_id in (1, 2, 3):
+            assert r.quality_score == model.base
+        elif r.doc_id and r.doc_id >= 1000:
+            assert (r.quality_score > 0.5) == (r.doc_id < 2000)
+    assert mil.scored(documents([]), model).collect() == []
+    none = mil.trained(docs, labels.limit(0))
+    assert {r.quality_score for r in mil.scored(docs, none).collect()} == {0.5}
+    ones = mil.trained(docs, labels.where("quality = 1 AND doc_id > 1000"))
+    assert {r.quality_score for r in mil.scored(docs, ones).collect()} == {1.0}
+
+
+def test_passages_cover_whole_texts_and_attention_finds_the_odd_one():
+    texts = pa.array(["a b c", None, "w " * 100, "", " lead " + "x" * 3000])
+    x, at = mil.passages(texts)
+    assert list(np.diff(at)) == [1, 0, 3, 0, 1]
+    for i in range(5):
+        assert np.allclose(x[at[i]:at[i + 1]], mil.passages(texts.slice(i, 1))[0], atol=1e-6)
+    rng = np.random.default_rng(0)
+    prose = [" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(48)) for _ in range(400)]
+    junk = "$$$ ### !!! " * 16
+    bags = [" ".join(prose[4 * i: 4 * i + 4]) for i in range(80)] + [" ".join([prose[4 * i], prose[4 * i + 1], junk, prose[4 * i + 2]]) for i in range(80)]
+    x, at = mil.passages(pa.array(bags))
+    model = mil.fitted(x, at, np.array([1.0] * 80 + [0.0] * 80), epochs=60, batch=32)
+    score = model.scores(x, at)
+    assert score[:80].min() > score[80:].max()
+    h = model.encoded(x)
+    weights = model.attention(h, at)
+    odd = [weights[at[i]:at[i + 1]] for i in range(80, 160)]
+    assert np.mean([w.argmax() == 2 for w in odd]) > 0.9
+
+
+def test_labels_of_the_held_out_fold_do_not_matter(spark, documents, saved):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    flipped = labels.withColumn("quality", F.when(mil.in_fold("doc_id", 5, 0), 1 - F.col("quality")).otherwise(F.col("quality")))
+    folder = saved(documents=docs, labels=flipped)
+    a = sorted((r.doc_id, round(r.score, 4)) for r in mil.op3_query(spark, "/root/testdata/sf0.001").collect())
+    b = sorted((r.doc_id, round(r.score, 4)) for r in mil.op3_query(spark, folder).collect())
+    assert a == b
