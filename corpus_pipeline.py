@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerstar.llm import curriculum, ecoc_langid, mil_quality, sos_packing
 from ledgerstar.llm.jaccard_join import JaccardJoin
-from ledgerstar.llm.shared import stored, table
+from ledgerstar.llm.shared import shipped, stored, table
 
 # Below this share no language stands out among the learned ones.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -63,13 +63,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sos_packing.packed(docs)
 
 
-STAGES = [
+STAGES = [(name, shipped(stage)) for name, stage in [
     ("language_id", language_id),
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("mix", mix),
     ("pack", pack),
-]
+]]
 
 # Classifiers and tokens have no SQL; tests/llm hold the stages against brute force.
 ORACLE_SQL = None
