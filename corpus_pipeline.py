@@ -20,9 +20,6 @@ from ledgerstar.llm import curriculum, ecoc_langid, mil_quality, sos_packing
 from ledgerstar.llm.jaccard_join import JaccardJoin
 from ledgerstar.llm.shared import shipped, stored, table
 
-# Below this share no language stands out among the learned ones.
-LEAST_LANGUAGE_SCORE = 0.3
-
 
 def _whole(docs: DataFrame) -> DataFrame:
     """Rows as one struct beside the columns in use, so that no operator's
@@ -33,7 +30,7 @@ def _whole(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learn = docs.select("doc_id", "text", "lang").where(~ecoc_langid.in_fold("doc_id", 4, ecoc_langid.HELD_OUT))
     out = ecoc_langid.scored(_whole(docs), ecoc_langid.trained(learn))
-    return out.where((F.col("lang_pred") != ecoc_langid.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select("_row.*")
+    return out.where(F.col("lang_pred") != ecoc_langid.UNKNOWN).select("_row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
