@@ -13,8 +13,9 @@ over all documents) the first d + 1 of A and of B share one: pigeonhole.  Those
 chunks are the join keys; nothing is capped, so no link can be missed.  The
 number of chunks is such that a set leaves more than d + 1 of them non-empty
 (one chunk per shingle in small bands; in larger ones the odds of a shortfall
-are below 1e-20).  Candidates must pass the size bound and the Hamming bound of
-a folded 512-bit parity sketch, then their sets are compared.
+are below 1e-20).  Candidates must pass the size bound and the Hamming bound,
+first of a 512-bit parity sketch, then for larger sets of one of at least four
+bits a shingle (folded to the smaller one's bits); then the sets are compared.
 
 For components not all pairs are needed: in each bucket every document is first
 compared with the smallest one only; then documents of one bucket that are not
@@ -30,6 +31,7 @@ read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,14 +44,16 @@ from .components import connected_components
 from .shared import partitions, stored, table
 from .textscan import mixed, shingle_sets, slices
 
-COUNT_BITS = 18  # counts of chunk contents: 2**18 numbers, whatever the input
+COUNT_BITS = 21  # counts of chunk contents: 2**21 numbers, whatever the input
 COUNT_SLICES = 64
 PART_KEYS = 2_000_000  # join keys that one reduce step holds
 HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
-INFO = "kind int, doc_id long, n long, d1 long, d2 long, sketch binary, slot int, counts binary"
+INFO = "kind int, doc_id long, n long, d1 long, d2 long, sketch binary, wide binary, slot int, counts binary"
 SKETCH_WORDS = 8
+WIDE_FROM = 128  # sets of at least so many shingles have a wide sketch too
+BLOOM_BITS = 1 << 26  # at most so many bits say which documents' sets are wanted
 
 
 def bands(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +98,21 @@ def folded(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8).reshape(-1, bits), axis=1, bitorder="little").view("<i8")
 
 
+def wide_sketch(values: np.ndarray) -> bytes | None:
+    """A parity sketch of at least four bits a shingle, a power of two."""
+    if len(values) < WIDE_FROM:
+        return None
+    bits = 1 << (4 * len(values) - 1).bit_length()
+    flips = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance, the longer sketch folded to the shorter's bits."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def _sets(batch: pa.RecordBatch):
     """(row range, ids, id is null, sets) of a batch in slices."""
     for a, b in slices(batch["text"], rows=4000):
@@ -132,28 +151,35 @@ def scanned(docs: DataFrame) -> DataFrame:
     per hash of the content (a fixed number of them a task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(1 << COUNT_BITS, np.int64), _Seen()
+        counts, seen, met, n_met = np.zeros(1 << COUNT_BITS, np.int64), _Seen(), [], 0
         for batch in batches:
             for ids, null, values, offsets in _sets(batch):
                 digests = _digests(values, offsets)
                 fresh = seen.fresh(digests, ~null & (np.diff(offsets) > 0))
                 for _, keys, _ in document_keys(values, offsets, fresh):
-                    counts += np.bincount((keys & np.uint64(len(counts) - 1)).astype(np.int64), minlength=len(counts))
+                    met.append((keys & np.uint64(len(counts) - 1)).astype(np.int64))
+                    n_met += len(keys)
+                if n_met > 2_000_000:
+                    counts += np.bincount(np.concatenate(met), minlength=len(counts))
+                    met, n_met = [], 0
                 sketch = folded(values, offsets)
                 m = len(ids)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.zeros(m, np.int32)), ids.cast(pa.int64()), pa.array(np.diff(offsets)), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
-                    pa.array([x.tobytes() for x in sketch], pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=NAMES)
-        parts = counts.reshape(COUNT_SLICES, -1)
+                    pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array([wide_sketch(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()),
+                    pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=NAMES)
+        if met:
+            counts += np.bincount(np.concatenate(met), minlength=len(counts))
+        parts = np.minimum(counts, (1 << 32) - 1).astype("<u4").reshape(COUNT_SLICES, -1)
         m = len(parts)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.ones(m, np.int32)), *[pa.nulls(m, pa.int64())] * 4, pa.nulls(m, pa.binary()), pa.array(np.arange(m, dtype=np.int32)),
-            pa.array([x.astype("<i8").tobytes() for x in parts], pa.binary())], names=NAMES)
+            pa.array(np.ones(m, np.int32)), *[pa.nulls(m, pa.int64())] * 4, *[pa.nulls(m, pa.binary())] * 2, pa.array(np.arange(m, dtype=np.int32)),
+            pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())], names=NAMES)
 
     return stored(docs.mapInArrow(run, INFO), "jaccard-scan")
 
 
-NAMES = ["kind", "doc_id", "n", "d1", "d2", "sketch", "slot", "counts"]
+NAMES = ["kind", "doc_id", "n", "d1", "d2", "sketch", "wide", "slot", "counts"]
 
 
 def total_counts(scan: DataFrame) -> np.ndarray:
@@ -163,7 +189,7 @@ def total_counts(scan: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for slot, raw in zip(batch["slot"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                sums[slot] = sums.get(slot, 0) + np.frombuffer(raw, "<i8")
+                sums[slot] = sums.get(slot, 0) + np.frombuffer(zlib.decompress(raw), "<u4").astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in sums.values()], pa.binary())], names=["slot", "counts"])
 
     slots = scan.where("kind = 1").select("slot", "counts").repartition(COUNT_SLICES, "slot")
@@ -282,14 +308,55 @@ def _fits(a: str, b: str):
     return (4 * F.least(na, nb) >= 3 * F.greatest(na, nb)) & (7 * hamming <= na + nb)
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _joined(pairs: DataFrame, ends: DataFrame, name: str) -> DataFrame:
+    """pairs with the ends' (id, value) as x and y; the side of the pairs, on
+    which an id can be hot, can be split."""
+    met = pairs.join(ends.select(F.col("id").alias("b"), F.col(name).alias("y")).hint("merge"), "b")
+    return met.join(ends.select(F.col("id").alias("a"), F.col(name).alias("x")).hint("merge"), "a").select("a", "b", "x", "y")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def plausible(scan: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Stored (a, b): the pairs whose wide sketches, if both have one, differ
+    in few enough bits."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [x["s"] is None or y["s"] is None or 7 * wide_distance(x["s"], y["s"]) <= x["n"] + y["n"]
+                    for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    rows = scan.where("kind = 0").select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
+    return stored(_joined(pairs, rows, "v").mapInArrow(compare, "a long, b long").distinct(), "jaccard-plausible")
+
+
+def _wanted(ids: DataFrame):
+    """(bits, words): a filter of hashed ids, sized to them up to BLOOM_BITS."""
+    bits = min(BLOOM_BITS, 1 << max(10, (16 * ids.count()).bit_length()))
+    place = F.xxhash64("id").bitwiseAND(F.lit(bits - 1))
+    rows = ids.select(place.alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p & 63L AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
+    words = np.zeros(bits // 64, np.int64)
+    for r in rows.toArrow().to_batches():
+        words[r["w"].to_numpy()] = r["b"].to_numpy()
+    return bits, words.view(np.uint64)
+
+
+def verified(docs: DataFrame, scan: DataFrame, pairs: DataFrame) -> DataFrame:
     """Stored (a, b, inter, total): the pairs whose sets are similar enough,
-    with the sizes of intersection and union.  Sets are made once for the ends
-    of pairs and meet their pairs in joins whose hot side can be split."""
+    with the sizes of intersection and union.  Sets are made for the ends of
+    plausible pairs (a fixed-size filter says which documents can be one)."""
+    pairs = plausible(scan, pairs)
+    bits, words = _wanted(stored(_ends(pairs), "jaccard-ends"))
+    wanted = docs.sparkSession.sparkContext.broadcast(words)  # at most BLOOM_BITS bits
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, values, offsets in _sets(batch):
+            place = batch["place"].to_numpy().view(np.uint64) & np.uint64(bits - 1)
+            hit = (wanted.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+            for ids, _, values, offsets in _sets(batch.filter(pa.array(hit.astype(bool)))):
                 yield pa.RecordBatch.from_arrays([ids, pa.array([values[a:b].astype("<u8").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], names=["id", "set"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,11 +372,9 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     out.append((a, b, inter, total))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], names=["a", "b", "inter", "total"])
 
-    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    own = stored(docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "id long, set binary"), "jaccard-sets")
-    met = pairs.join(own.select(F.col("id").alias("b"), F.col("set").alias("y")).hint("merge"), "b")
-    met = met.join(own.select(F.col("id").alias("a"), F.col("set").alias("x")).hint("merge"), "a")
-    return stored(met.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, inter long, total long").distinct(), "jaccard-links")
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("place"))
+    own = stored(rows.mapInArrow(sets, "id long, set binary"), "jaccard-sets")
+    return stored(_joined(pairs, own, "set").mapInArrow(compare, "a long, b long, inter long, total long").distinct(), "jaccard-links")
 
 
 def _candidates(members: DataFrame, apart) -> DataFrame:
@@ -327,7 +392,7 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, part_keys: int = PART_KEYS, hot_keys: int = HOT_KEYS):
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        scan = scanned(self.docs)
+        self.scan = scan = scanned(self.docs)
         self.info = document_info(scan)
         total = self.info.agg(F.sum(F.floor(F.col("n") / 3) + 1)).first()[0] or 0
         self.buckets = buckets(self.docs, total_counts(scan), int(total), part_keys, hot_keys)
@@ -340,7 +405,7 @@ class JaccardJoin:
 
     def pairs(self) -> DataFrame:
         """(a, b, inter, total), a < b."""
-        return verified(self.docs, _candidates(self._members(), None))
+        return verified(self.docs, self.scan, _candidates(self._members(), None))
 
     def components(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) for every document."""
@@ -359,7 +424,7 @@ class JaccardJoin:
         stars = stars.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         ends = stars.alias("p").join(reps.alias("l").hint("merge"), F.col("p.a") == F.col("l.rep")).join(reps.alias("r").hint("merge"), F.col("p.b") == F.col("r.rep"))
         stars = stored(ends.where(_fits("l", "r")).select("p.a", "p.b"), "jaccard-stars")
-        links = verified(self.docs, stars)
+        links = verified(self.docs, self.scan, stars)
         known = stored(connected_components(links), "jaccard-known")
         # members of a bucket that the stars left apart, against each other
         slim = self.buckets.select("bucket", F.explode("members").alias("doc_id")).join(to_rep.hint("merge"), "doc_id").select("bucket", "rep").distinct()
@@ -369,7 +434,7 @@ class JaccardJoin:
         apart = slim.join(split, "bucket").join(reps.hint("merge"), "rep")
         rest = _candidates(stored(apart, "jaccard-apart"), F.col("a.component") != F.col("b.component"))
         rest = rest.join(stars, ["a", "b"], "left_anti")
-        more = verified(self.docs, stored(rest, "jaccard-rest"))
+        more = verified(self.docs, self.scan, stored(rest, "jaccard-rest"))
         final = connected_components(links.select("a", "b").unionByName(more.select("a", "b")))
         out = self.info.join(final.hint("merge"), F.col("rep") == F.col("node"), "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
