@@ -30,7 +30,7 @@ from .shared import table, without
 from .textscan import slices, string_bytes
 
 FEATURES = 2048
-PER_LANGUAGE = 1200
+PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200  # fitted languages: those with the most rows
 UNKNOWN = "und"
 MARGIN = 0.2  # ambiguous: the best language's share is below that of the next plus this
@@ -91,7 +91,7 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     return best
 
 
-def fit_bits(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 300, decay: float = 1e-5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_bits(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200, decay: float = 1e-5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weighted logistic regressions of all bits at once (Adam on the full
     sample): coefficients (features, bits) and intercepts."""
     w, b = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
@@ -146,10 +146,13 @@ def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER
     are chosen by id alone; what reaches the driver is their feature rows, at
     most per_language * MAX_LANGUAGES of FEATURES numbers."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id"))
-    chosen = usable.select(F.col(id_col).alias("_id"), "lang").withColumn("_r", rank).where(F.col("_r") <= per_language)
-    chosen = chosen.join(F.broadcast(top), "lang", "left_semi").select("_id").distinct()
+    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    # a share of each language by hash, ample for per_language rows, then exactly so many
+    place = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
+    some = usable.select(F.col(id_col).alias("_id"), "lang", place.alias("_p")).join(F.broadcast(top), "lang")
+    some = some.where(F.col("_p") * F.col("count") < 1.2 * per_language + 100)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_p", "_id"))
+    chosen = some.withColumn("_r", rank).where(F.col("_r") <= per_language).select("_id").distinct()
     rows = usable.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left_semi").select("lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
