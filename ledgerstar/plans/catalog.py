@@ -16,7 +16,7 @@ from ledgerstar.operators import quality
 from ledgerstar.plans import questions as qs
 from ledgerstar.plans.chain import SalesChain
 from ledgerstar.schemas import INTERMEDIATE_COLUMNS, STAGING_COLUMNS
-from ledgerstar.session import apply_required
+from ledgerstar.session import apply_required, storage_root
 from ledgerstar.sources.testfeed import RAW_OUTPUT, raw_lines
 
 
@@ -50,6 +50,16 @@ def _rejected_by_reason(ch: SalesChain) -> DataFrame:
     )
 
 
+def _execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest five log rows of a run of all stages over the tables: the
+    layers are written under the shared folder, and the log is read back."""
+    from ledgerstar.plans import stages
+
+    root = f"{storage_root(spark)}/execution-log-{stages.new_version()}"
+    store = stages.run_stages(spark, raw_lines(spark, sf_dir), root=root)
+    return store.last_log_rows(5).select("dag_id", "task_id", "status", "rows_processed")
+
+
 def _q(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ch = chain_for(spark, sf_dir)
@@ -120,6 +130,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[key] = _m(key)
     for key in QUESTION_KEYS:
         out[key] = _q(key)
+    out["execution_log_last5"] = _execution_log
     for key in ["rejected_by_reason", "layer_row_counts", "mart_row_counts", "null_violations",
                 "check_violations", "pk_violations", "fk_violations", "mart_fingerprint"]:
         out[key] = _v(_VIEWS[key], key)

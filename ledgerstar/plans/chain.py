@@ -2,8 +2,8 @@
 
 `SalesChain` wires the operators together once; every attribute is a lazy
 DataFrame, built on first access and cached on the object (the *plan*, not
-the data).  Stages that have several consumers are marked in `stages.py`,
-which stores each layer and reads it back, cutting lineage between stages.
+the data).  The views are routes of the same frames that `stages.py` writes;
+there each layer is stored and read back, which cuts lineage between stages.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ledgerstar.operators import canonical as cn
 from ledgerstar.operators import mart as mt
 from ledgerstar.operators import rules
-from ledgerstar.operators.dedup import duplicate_keys, first_wins
-from ledgerstar.operators.staging import build_staging
+from ledgerstar.operators.dedup import duplicate_keys
+from ledgerstar.operators.staging import routed_lines
 from ledgerstar.schemas import (
     DAILY_DATE_FORMAT,
     HISTORICAL_DATE_FORMAT,
@@ -26,6 +26,8 @@ from ledgerstar.schemas import (
     ORDER_COLUMNS,
     RANK_DAILY,
     RANK_HISTORICAL,
+    REJECT_COLUMNS,
+    STAGING_COLUMNS,
 )
 
 
@@ -39,12 +41,14 @@ class SalesChain:
         keywords: dict | None = None,
         dedup_method: str = "aggregate",
         null_text: str | None = NULL_TEXT,
+        country_null_text: str | None = NULL_TEXT,
         date_formats: dict[int, str] | None = None,
     ):
         self.raw = raw
         self.keywords = keywords
         self.dedup_method = dedup_method
         self.null_text = null_text
+        self.country_null_text = country_null_text
         self.date_formats = date_formats or {
             RANK_DAILY: DAILY_DATE_FORMAT,
             RANK_HISTORICAL: HISTORICAL_DATE_FORMAT,
@@ -64,22 +68,22 @@ class SalesChain:
 
     # -- staging ---------------------------------------------------------
     @cached_property
-    def _staging(self) -> tuple[DataFrame, DataFrame]:
-        return build_staging(self.raw, self.date_formats, self.null_text)
+    def _routed_staging(self) -> DataFrame:
+        return routed_lines(self.raw, self.date_formats, self.null_text, self.country_null_text)
 
-    @property
+    @cached_property
     def staging(self) -> DataFrame:
         """Typed lines of both feeds (+ src_rank, load_order)."""
-        return self._staging[0]
+        return self._routed_staging.filter("route = 'kept'").select(*STAGING_COLUMNS, *ORDER_COLUMNS)
 
-    @property
+    @cached_property
     def staging_rejected(self) -> DataFrame:
-        return self._staging[1]
+        return self._routed_staging.filter("route = 'rejected'").select(*REJECT_COLUMNS)
 
     # -- intermediate ----------------------------------------------------
     @cached_property
     def deduped(self) -> DataFrame:
-        return first_wins(self.staging, "dedup_key", ORDER_COLUMNS, self.dedup_method)
+        return self.classified.drop("is_return")
 
     @cached_property
     def dedup_duplicates(self) -> DataFrame:
@@ -87,15 +91,11 @@ class SalesChain:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return rules.classify_returns(self.deduped)
-
-    @cached_property
-    def intermediate_rejected(self) -> DataFrame:
-        return rules.invalid_sales(self.classified)
+        return rules.deduplicated_lines(self.staging, self.dedup_method)
 
     @cached_property
     def categorized(self) -> DataFrame:
-        return rules.categorized_lines(rules.valid_lines(self.classified), self.keywords)
+        return rules.priced_lines(self.classified, self.keywords).filter("route = 'kept'").drop("route")
 
     @cached_property
     def description_frequencies(self) -> DataFrame:
@@ -105,11 +105,18 @@ class SalesChain:
     def canonical(self) -> DataFrame:
         return cn.canonical_descriptions(self.description_frequencies)
 
+    @cached_property
+    def _routed_intermediate(self) -> DataFrame:
+        return rules.routed_intermediate(self.staging, self.keywords, self.dedup_method)
+
+    @cached_property
+    def intermediate_rejected(self) -> DataFrame:
+        return self._routed_intermediate.filter("route = 'rejected'").select(*REJECT_COLUMNS)
+
     @cached_property
     def intermediate(self) -> DataFrame:
         """intermediate.sales_transactions_clean (+ src_rank, load_order)."""
-        joined = cn.attach_canonical(self.categorized, self.canonical)
-        return joined.select(*INTERMEDIATE_COLUMNS, *ORDER_COLUMNS)
+        return self._routed_intermediate.filter("route = 'kept'").select(*INTERMEDIATE_COLUMNS, *ORDER_COLUMNS)
 
     @property
     def rejected(self) -> DataFrame:
@@ -119,8 +126,3 @@ class SalesChain:
     @cached_property
     def mart(self) -> dict[str, DataFrame]:
         return mt.build_mart(self.intermediate)
-
-
-def chain_over(intermediate: DataFrame) -> dict[str, DataFrame]:
-    """Mart tables straight from a stored intermediate layer."""
-    return mt.build_mart(intermediate)

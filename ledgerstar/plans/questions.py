@@ -3,14 +3,15 @@
 Shape of every plan: aggregate the fact down to the join key first (map-side
 partial aggregation, one row per key per partition), *then* join the
 dimension, then aggregate to the reported grain.  The join therefore sees at
-most one row per key instead of every fact row, so neither a hot product, a
-hot day nor a hot customer can overload a join task, and the dimension side
-is broadcast only when adaptive execution measures it small.
+most one row per key instead of every fact row, so neither a hot product nor a
+hot day can overload a join task (N5, which joins one row per invoice, splits
+off the customer that stands for all unknown ones), and the dimension side is
+broadcast only when adaptive execution measures it small.
 
 Output conventions (shared with the SQL oracle):
   * money sums are exact decimals reported as decimal(38,4);
-  * ratios and averages are computed from the finished sums as doubles and
-    rounded half-up (return ratios to 4 places, tickets to 2);
+  * ratios and averages are computed from the finished sums in whole numbers,
+    rounded half-up (return ratios to 4 places, tickets to 2), reported as double;
   * divisions by a zero sum give NULL (NULLIF), never an error;
   * top-10 lists break ties on stock_code so the cut is deterministic.
 """
@@ -20,13 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.schemas import TOTAL_TYPE
+from ledgerstar.schemas import TOTAL_TYPE, UNKNOWN_CUSTOMER
 
 
 def _ratio(num: str, den: str, places: int) -> Column:
-    n = F.col(num).cast("double")
-    d = F.col(den).cast("double")
-    return F.round(n / F.nullif(d, F.lit(0.0)), places)
+    """num / den (sums of four decimals, or counts) rounded half up to `places`
+    digits in whole numbers, NULL for a zero den; only the finished value
+    becomes a double."""
+    n, d = (f"cast(cast({c} AS decimal(34,4)) * 10000 AS decimal(38,0))" for c in (num, den))
+    whole = F.expr(f"(2 * {n} * {10**places} + {d}) div nullif(2 * {d}, cast(0 AS decimal(38,0)))")
+    return whole.cast("double") / F.lit(float(10**places))
 
 
 def _product_totals(daily: DataFrame) -> DataFrame:
@@ -112,7 +116,7 @@ def q4_country_tickets(fact_sales: DataFrame) -> DataFrame:
     return t.select(
         "country",
         "transactions",
-        F.round(F.col("g").cast("double") / F.col("transactions"), 2).alias("avg_ticket"),
+        _ratio("g", "transactions", 2).alias("avg_ticket"),
     ).orderBy(F.desc("transactions"), "country")
 
 
@@ -121,7 +125,11 @@ def q5_identified_customers(fact_sales: DataFrame, dim_customer: DataFrame) -> D
     per_invoice = fact_sales.groupBy("customer_id", "invoice_no").agg(
         F.sum("gross_revenue").alias("g"), F.count(F.lit(1)).alias("lines")
     )
-    joined = per_invoice.join(dim_customer, "customer_id")
+    # all invoices without a customer share one key: they meet that customer's
+    # single row (the key is unique) by broadcast, the others by key
+    unknown = F.col("customer_id") == F.lit(UNKNOWN_CUSTOMER)
+    joined = per_invoice.filter(~unknown).join(dim_customer.filter(~unknown), "customer_id").unionByName(
+        per_invoice.filter(unknown).join(F.broadcast(dim_customer.filter(unknown)), "customer_id"))
     t = joined.groupBy("is_identified").agg(
         F.count_distinct("invoice_no").alias("transactions"),
         F.sum("g").alias("g"),
@@ -130,8 +138,8 @@ def q5_identified_customers(fact_sales: DataFrame, dim_customer: DataFrame) -> D
     return t.select(
         "is_identified",
         "transactions",
-        F.round(F.col("g").cast("double") / F.col("lines"), 2).alias("avg_line_revenue"),
-        F.round(F.col("g").cast("double") / F.col("transactions"), 2).alias("avg_ticket"),
+        _ratio("g", "lines", 2).alias("avg_line_revenue"),
+        _ratio("g", "transactions", 2).alias("avg_ticket"),
     )
 
 

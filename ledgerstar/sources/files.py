@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstar.functions.text import na_to_null
 from ledgerstar.schemas import (
@@ -29,12 +30,18 @@ from ledgerstar.schemas import (
 )
 
 
+WHOLE_LINE = "_whole_line"
+
+
 def _read_text_csv(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
-    """Header CSV with every column as text.  Columns are taken by header name
-    (any order, extra columns ignored); with inferSchema off no data pass is
-    spent on guessing types.  Empty cells and the other missing-value tokens
-    become NULL in `_to_raw`."""
-    return (
+    """Header CSV with every column as text; type inference is off.
+
+    The names come from one file's header; every file of a folder must have the
+    same header (another one fails the read instead of shifting cells).  A line
+    with too many or too few cells keeps its whole text in WHOLE_LINE, and
+    staging rejects it with that text.  Empty cells and the other missing-value
+    tokens become NULL in `_to_raw`."""
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("encoding", encoding)
@@ -42,7 +49,12 @@ def _read_text_csv(spark: SparkSession, path: str, encoding: str, multi_line: bo
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
-        .csv(path)
+    )
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, WHOLE_LINE]])
+    return (
+        reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", WHOLE_LINE)
+        .option("columnPruning", False).schema(schema).csv(path)
     )
 
 
@@ -61,15 +73,16 @@ def _to_raw(df: DataFrame, column_map: dict[str, str], source_file: Column, rank
     for src, dst in column_map.items():
         c = F.col(f"`{src}`").cast("string")
         cols.append((na_to_null(c) if na_tokens else c).alias(dst))
-    by_name = {dst: dst for dst in column_map.values()}
+    whole = F.col(WHOLE_LINE) if WHOLE_LINE in df.columns else F.lit(None).cast("string")
     out = df.select(
         *cols,
+        whole.alias("raw_line"),
         source_file.alias("source_file"),
         F.current_timestamp().alias("loaded_at"),
         F.lit(rank).alias("src_rank"),
         _load_order(sheet_index, position).alias("load_order"),
     )
-    return out.select(*[by_name[c] for c in RAW_COLUMNS], "source_file", "loaded_at", "src_rank", "load_order")
+    return out.select(*RAW_COLUMNS, "raw_line", "source_file", "loaded_at", "src_rank", "load_order")
 
 
 def read_daily_csv(
@@ -95,6 +108,7 @@ def read_sheets(
     encoding: str = "UTF-8",
     column_map: dict[str, str] = HISTORICAL_COLUMN_MAP,
     na_tokens: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """raw.sales_historical: the union of the sheets, in the given order.
 
@@ -104,7 +118,7 @@ def read_sheets(
     out = None
     for i, (sheet, path) in enumerate(sheets):
         if fmt == "csv":
-            df = _read_text_csv(spark, path, encoding, False)
+            df = _read_text_csv(spark, path, encoding, multi_line)
             pos = F.monotonically_increasing_id()
         elif fmt == "parquet":
             df = spark.read.parquet(path)

@@ -6,13 +6,15 @@ from __future__ import annotations
 from conftest import SF_SMALL
 from oracle_compare import compare
 
+from ledgerstar.plans.catalog import registry
+
 
 def test_all_queries_match_oracle(spark):
-    results = compare(spark, SF_SMALL, verbose=False)
+    results = compare(spark, SF_SMALL, list(registry()), verbose=False)
     bad = {k: r for k, r in results.items() if r["match"] is False}
     assert not bad, bad
     unchecked = [k for k, r in results.items() if r["match"] is None]
-    assert unchecked == ["mart_fingerprint"]
+    assert unchecked == []
     assert all(r["spark_rows"] > 0 for r in results.values())
 
 

@@ -51,3 +51,51 @@ def test_hot_product_canonical_and_daily(spark):
     daily = ch.mart["fact_daily_product_revenue"].filter(F.col("stock_code") == "85123A").first()
     # 3000 lines of 6 x 2.55
     assert str(daily.gross_revenue) == "45900.0000"
+
+
+def test_moved_nulls_change_the_fingerprint(spark):
+    a = spark.createDataFrame([("a", None), ("12", "3")], "x string, y string")
+    b = spark.createDataFrame([(None, "a"), ("12", "3")], "x string, y string")
+    c = spark.createDataFrame([("a", None), ("1", "23")], "x string, y string")
+    prints = [quality.fingerprint({"t": df}).first().fingerprint for df in (a, b, c)]
+    assert len(set(prints)) == 3
+    assert quality.fingerprint({"t": a.orderBy("x")}).first().fingerprint == prints[0]
+
+
+def test_hot_product_is_dealt_over_join_tasks(spark):
+    from ledgerstar.operators.canonical import attach_canonical
+
+    lines = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), F.col("id") % 40)).alias("stock_code"),
+        F.col("id").cast("string").alias("dedup_key"))
+    names = lines.select("stock_code").distinct().withColumn("canonical_description", F.upper("stock_code"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = attach_canonical(lines, names)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert joined.filter("canonical_description IS NULL").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 4000 and max(per_task) < 1400  # half of the lines are one product
+
+
+def test_unknown_customer_is_not_joined_by_key(spark):
+    from ledgerstar.plans.questions import q5_identified_customers
+
+    sales = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("UNKNOWN")).otherwise(F.col("id").cast("string")).alias("customer_id"),
+        F.col("id").cast("string").alias("invoice_no"), F.lit(2).cast("decimal(14,4)").alias("gross_revenue"))
+    dim = sales.select("customer_id").distinct().withColumn("is_identified", F.col("customer_id") != "UNKNOWN")
+    got = {r.is_identified: (r.transactions, r.avg_line_revenue, r.avg_ticket) for r in q5_identified_customers(sales, dim).collect()}
+    assert got == {True: (1500, 2.0, 2.0), False: (1500, 2.0, 2.0)}
+
+
+def test_category_upper_cases_once(spark):
+    from ledgerstar.operators.rules import priced_lines
+
+    df = spark.createDataFrame([("red mug", 1, 1)], "description string, quantity int, unit_price int").select("description", "quantity", F.col("unit_price").cast("decimal(12,4)").alias("unit_price"), (F.col("quantity") <= 0).alias("is_return"))
+    plan = priced_lines(df.repartition(2))._jdf.queryExecution().executedPlan().toString()
+    assert plan.lower().count("upper(") <= 2  # the plan tree and its formatted details name it at most once each

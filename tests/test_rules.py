@@ -208,7 +208,9 @@ def test_overflowing_quantity_aborts(spark):
 def test_null_text_option_keeps_nulls(spark):
     ch = chain(spark, [line(description=None, country=None)], null_text=None)
     r = ch.staging.first()
-    assert r.description is None and r.country is None
+    assert r.description is None and r.country == "None"
+    both = chain(spark, [line(description=None, country=None)], null_text=None, country_null_text=None).staging.first()
+    assert both.description is None and both.country is None
 
 
 def test_rejected_sale_never_computes_revenue(spark):

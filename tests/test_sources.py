@@ -108,3 +108,35 @@ def test_command_line_run(spark, scratch):
     assert [r.quantity for r in clean if r.invoice_no == "536365"] == [6]
     assert store.read("staging", "rejected_records").count() == 1
     assert spark.sql("SELECT count(*) FROM mart.dim_product").first()[0] == 3
+
+
+def test_folder_with_another_header_fails(spark, scratch):
+    import pytest
+
+    folder = os.path.join(scratch, "daily")
+    os.mkdir(folder)
+    _write(os.path.join(folder, "a.csv"), DAILY, "ISO-8859-1")
+    _write(os.path.join(folder, "b.csv"), "StockCode,InvoiceNo,Description,UnitPrice,InvoiceDate,Quantity,CustomerID,Country\n"
+           "B,7,X,3,12/1/2010 8:26,9.5,1,UK\n", "ISO-8859-1")
+    with pytest.raises(Exception, match="header"):
+        read_daily_csv(spark, folder).collect()
+
+
+def test_surplus_and_short_lines_are_rejected_whole(spark, scratch):
+    import json
+
+    path = os.path.join(scratch, "data.csv")
+    surplus = "1,A,RED, MUG,6,12/1/2010 8:26,2.55,17850,DE"
+    short = "2,B,BLUE MUG,6"
+    _write(path, DAILY.splitlines(True)[0] + surplus + "\n" + short + "\n3,C,CUP,1,12/1/2010 8:26,1.0,1,UK\n", "ISO-8859-1")
+    ch = SalesChain.from_feeds(read_daily_csv(spark, path), read_daily_csv(spark, _daily_empty(scratch)))
+    assert [r.invoice_no for r in ch.staging.collect()] == ["3"]
+    kept = sorted(json.loads(r.raw_data)["raw_line"] for r in ch.staging_rejected.collect())
+    assert kept == [surplus, short]
+
+
+def test_line_ends_inside_quotes(spark, scratch):
+    path = os.path.join(scratch, "data.csv")
+    _write(path, DAILY.splitlines(True)[0] + '1,A,"RED\nMUG",6,12/1/2010 8:26,2.55,17850,DE\n', "ISO-8859-1")
+    row = read_daily_csv(spark, path, multi_line=True).collect()
+    assert len(row) == 1 and row[0].description == "RED\nMUG" and row[0].raw_line is None
