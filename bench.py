@@ -53,7 +53,7 @@ def main() -> None:
     rows: dict[str, int] = {}
     for name, df in stages.questions(store).items():
         t = time.time()
-        rows[name] = len(df.collect())
+        rows[name] = df.count()
         question_sec[name] = round(time.time() - t, 3)
 
     total = stages_sec + sum(question_sec.values())
@@ -66,7 +66,7 @@ def main() -> None:
         "stages_sec": round(stages_sec, 3),
         "questions_sec": round(sum(question_sec.values()), 3),
         "result_rows": rows,
-        "stage_rows": {r.task_id: r.rows_processed for r in store.last_log_rows(4).collect()},
+        "stage_rows": {r.task_id: r.rows_processed for r in store.last_log_rows(5).collect()},
         "cpus": cpus,
         "driver_memory": spark.conf.get("spark.driver.memory", "default"),
         "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),

@@ -9,6 +9,8 @@ small shuffle partitions and splits skewed ones.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -82,10 +84,14 @@ def checkpoint_location(spark: SparkSession) -> str | None:
 def storage_root(spark: SparkSession, subdir: str = "ledgerstar") -> str:
     """Where stored layers live: under the session's checkpoint folder.
 
-    Never falls back to a machine-local temp folder: on a cluster that would
-    be a different disk per executor.  Tests set their own folder explicitly.
+    Never falls back to a machine-local folder on a cluster, where that would
+    be a different disk per executor; only a local session gets one of its own.
     """
     base = checkpoint_location(spark)
+    if not base and re.match(r"local(\[|$)", spark.sparkContext.master):
+        # one process: the driver's disk is the executors' disk
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerstar-"))
+        base = checkpoint_location(spark)
     if not base:
         raise RuntimeError(
             "no shared storage configured: set spark.checkpoint.dir "
@@ -94,19 +100,18 @@ def storage_root(spark: SparkSession, subdir: str = "ledgerstar") -> str:
     return os.path.join(base, subdir) if "://" not in base else base.rstrip("/") + "/" + subdir
 
 
-def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 512 << 20,
-                 max_partitions: int = 200_000) -> dict:
+def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 512 << 20) -> dict:
     """Shuffle sizing for a cluster run, to pass as `extra` to build_session.
 
     Start with enough shuffle partitions that each holds about
     `target_partition_bytes` of the largest stage input (at least three waves
-    of tasks, at most `max_partitions` so map outputs stay manageable), and
+    of tasks), whatever the input's size, and
     let adaptive execution coalesce small partitions and split skewed ones at
     run time.  Sort-based shuffle spills, so a partition larger than memory
     slows down but does not fail.  Example: 100 TB on 8000 cores -> 200k
     initial partitions (~512 MB each), coalesced by AQE as stages shrink."""
     by_size = -(-input_bytes // target_partition_bytes)
-    initial = min(max(3 * total_cores, by_size), max(max_partitions, 3 * total_cores))
+    initial = max(3 * total_cores, by_size)
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),

@@ -18,6 +18,7 @@ sys.path.insert(0, ROOT)
 
 from ledgerstar.functions.text import WHITESPACE  # noqa: E402
 from ledgerstar.operators import mart as mt  # noqa: E402
+from ledgerstar.operators.rules import routed_intermediate  # noqa: E402
 from ledgerstar.operators.staging import routed_lines  # noqa: E402
 from ledgerstar.plans import stages  # noqa: E402
 from ledgerstar.schemas import (  # noqa: E402
@@ -68,7 +69,7 @@ def main() -> None:
     sections.append(("staging: typed lines + rejects, one projection", routed_lines(raw, formats)))
     staging = store.read("staging", "sales_transactions")
     sections.append(("intermediate: dedup, rules, categories, canonical names, routed rejects",
-                     stages.routed_intermediate(staging)))
+                     routed_intermediate(staging)))
     inter = store.read("intermediate", "sales_transactions_clean")
     for name, df in mt.build_mart(inter).items():
         if name not in ("fact_sales", "fact_returns"):
