@@ -60,22 +60,26 @@ def mixed(df: DataFrame, id_col: str = "doc_id", source: str = "source", size: s
     groups; the groups' sums (one row each) give every group its start.
     """
     df = without(df, *ADDED)
-    rows = df.select("*", F.col(source).alias("_s"), F.coalesce(F.md5(F.col(id_col).cast("string")), F.lit("")).alias("_h"))
+    # the source without nulls (and whether it is one), so that the window and
+    # the join below need one and the same shuffle of the rows
+    key = ["_s", "_z", "_b"]
+    rows = df.select("*", F.coalesce(F.col(source), F.lit("")).alias("_s"), F.col(source).isNull().alias("_z"),
+                     F.coalesce(F.md5(F.col(id_col).cast("string")), F.lit("")).alias("_h"))
     rows = rows.withColumn("_b", F.substring("_h", 1, digits))
-    groups = rows.groupBy("_s", "_b").agg(F.sum(size).alias("_g"))
-    starts = groups.withColumn("_g0", F.coalesce(F.sum("_g").over(Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    targets = source_targets(groups.groupBy(F.col("_s").alias("source")).agg(F.sum("_g").alias("source_size")), weights, ramps, max_passes)
-    starts = starts.join(targets, F.col("_s").eqNullSafe(F.col("source"))).select(
-        F.col("_s").alias("_s2"), F.col("_b").alias("_b2"), "_g0", "source_size", "target", "quota", "ramp")
-    run = Window.partitionBy("_s", "_b").orderBy("_h", F.col(id_col), F.col(size)).rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy(*key).agg(F.sum(size).alias("_g"))
+    starts = groups.withColumn("_g0", F.coalesce(F.sum("_g").over(Window.partitionBy("_s", "_z").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    name = F.when(~F.col("_z"), F.col("_s"))
+    targets = source_targets(groups.groupBy(name.alias("source")).agg(F.sum("_g").alias("source_size")), weights, ramps, max_passes)
+    starts = starts.join(targets, name.eqNullSafe(F.col("source"))).select(*key, "_g0", "source_size", "target", "quota", "ramp")
+    run = Window.partitionBy(*key).orderBy("_h", F.col(id_col), F.col(size)).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_run", F.coalesce(F.sum(size).over(run), F.lit(0)))
-    out = rows.join(starts, F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_b") == F.col("_b2")))
+    out = rows.join(starts, key)
     out = out.withColumn("before", F.col("_g0") + F.col("_run"))
     whole = F.expr("CASE WHEN source_size > 0 THEN quota div source_size ELSE 0L END")
     part = F.expr("CASE WHEN source_size > 0 THEN quota % source_size ELSE 0L END")
     last = F.least(F.greatest(part - F.col("before"), F.lit(0)), F.col(size))
     out = out.withColumn("taken", whole * F.col(size) + last)
-    return out.drop("_s", "_h", "_b", "_s2", "_b2", "_g0", "_run")
+    return out.drop(*key, "_h", "_g0", "_run")
 
 
 def position(demand, ramp):
