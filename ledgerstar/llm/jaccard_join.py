@@ -37,6 +37,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,9 +45,9 @@ from .components import connected_components
 from .shared import partitions, stored, table
 from .textscan import mixed, shingle_sets, slices
 
-COUNT_BITS = 21  # counts of chunk contents: 2**21 numbers, whatever the input
+COUNT_BITS = 20  # counts of chunk contents: 2**20 numbers, whatever the input
 COUNT_SLICES = 64
-PART_KEYS = 2_000_000  # join keys that one reduce step holds
+PART_KEYS = 1_000_000  # join keys that one reduce step holds
 HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
@@ -107,7 +108,7 @@ def wide_sketch(values: np.ndarray) -> bytes | None:
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def wide_distance(x: bytes, y: bytes) -> int:
+def wide_distance(x, y) -> int:
     """Hamming distance, the longer sketch folded to the shorter's bits."""
     a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
     return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
@@ -115,7 +116,7 @@ def wide_distance(x: bytes, y: bytes) -> int:
 
 def _sets(batch: pa.RecordBatch):
     """(row range, ids, id is null, sets) of a batch in slices."""
-    for a, b in slices(batch["text"], rows=4000):
+    for a, b in slices(batch["text"], rows=1000):
         part = batch.slice(a, b - a)
         ids = part["doc_id"]
         values, offsets = shingle_sets(part["text"])
@@ -159,7 +160,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                 for _, keys, _ in document_keys(values, offsets, fresh):
                     met.append((keys & np.uint64(len(counts) - 1)).astype(np.int64))
                     n_met += len(keys)
-                if n_met > 2_000_000:
+                if n_met > 500_000:
                     counts += np.bincount(np.concatenate(met), minlength=len(counts))
                     met, n_met = [], 0
                 sketch = folded(values, offsets)
@@ -244,16 +245,16 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
                     taken = np.concatenate(first)
                     held.append((keys[taken], np.repeat(names[docs_], [len(x) for x in first]), np.isin(slot[taken], hot_slots)))
                     size += len(taken)
-                if size > 1_000_000:
+                if size > 500_000:
                     yield blocks(*[np.concatenate(x) for x in zip(*held, strict=True)])
                     held, size = [], 0
         if held:
             yield blocks(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
     def grouped(part, raw) -> pa.RecordBatch:
-        keys = np.concatenate([np.frombuffer(x[0], "<u4") for x in raw])
-        owners = np.concatenate([np.frombuffer(x[1], "<i8") for x in raw])
-        whole = np.concatenate([np.frombuffer(x[2], "<u8") if x[2] is not None else np.zeros(len(x[0]) // 4, np.uint64) for x in raw])
+        keys = np.concatenate([np.frombuffer(x[0].as_buffer(), "<u4") for x in raw])
+        owners = np.concatenate([np.frombuffer(x[1].as_buffer(), "<i8") for x in raw])
+        whole = np.concatenate([np.frombuffer(x[2].as_buffer(), "<u8") if x[2].is_valid else np.zeros(x[0].as_buffer().size // 4, np.uint64) for x in raw])
         order = np.lexsort((owners, keys))
         keys, owners, whole = keys[order], owners[order], whole[order]
         fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
@@ -274,7 +275,7 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, raw = None, []
         for batch in batches:
-            for row in zip(*[batch[c].to_pylist() for c in ("part", "keys", "docs", "hot")], strict=True):
+            for row in zip(batch["part"].to_pylist(), *[batch[c] for c in ("keys", "docs", "hot")], strict=True):
                 if row[0] != here and raw:
                     yield grouped(here, raw)
                     raw = []
@@ -325,8 +326,9 @@ def plausible(scan: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [x["s"] is None or y["s"] is None or 7 * wide_distance(x["s"], y["s"]) <= x["n"] + y["n"]
-                    for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)]
+            keep = [not x.is_valid or not y.is_valid or 7 * wide_distance(x.as_buffer(), y.as_buffer()) <= m + n
+                    for x, y, m, n in zip(*[pc.struct_field(batch[c], f) for c, f in (("x", "s"), ("y", "s"))],
+                                          *[pc.struct_field(batch[c], "n").to_pylist() for c in ("x", "y")], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     rows = scan.where("kind = 0").select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
@@ -344,6 +346,27 @@ def _wanted(ids: DataFrame):
     return bits, words.view(np.uint64)
 
 
+def _may_hold(words: np.ndarray, bits: int, place: pa.Array) -> np.ndarray:
+    at = place.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) & np.uint64(bits - 1)
+    return ((words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but the rows whose doc_id is in `gone` (a stored table of ids).  A
+    fixed-size filter tells most rows apart where they are; only rows that it
+    may hold meet the ids in a join, so the other texts are not shuffled."""
+    bits, words = _wanted(gone.select(F.col("doc_id").alias("id")))
+    sent = docs.sparkSession.sparkContext.broadcast(words)  # at most BLOOM_BITS bits
+
+    @F.arrow_udf("boolean")
+    def may_go(place: pa.Array) -> pa.Array:
+        return pa.array(_may_hold(sent.value, bits, place))
+
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", may_go(F.xxhash64("doc_id")).alias("_may_go"))
+    doubtful = rows.where("_may_go").join(gone.select("doc_id"), "doc_id", "left_anti")
+    return rows.where("NOT _may_go").select("_row.*").unionByName(doubtful.select("_row.*"))
+
+
 def verified(docs: DataFrame, scan: DataFrame, pairs: DataFrame) -> DataFrame:
     """Stored (a, b, inter, total): the pairs whose sets are similar enough,
     with the sizes of intersection and union.  Sets are made for the ends of
@@ -354,17 +377,14 @@ def verified(docs: DataFrame, scan: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch["place"].to_numpy().view(np.uint64) & np.uint64(bits - 1)
-            hit = (wanted.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
-            for ids, _, values, offsets in _sets(batch.filter(pa.array(hit.astype(bool)))):
+            for ids, _, values, offsets in _sets(batch.filter(pa.array(_may_hold(wanted.value, bits, batch["place"])))):
                 yield pa.RecordBatch.from_arrays([ids, pa.array([values[a:b].astype("<u8").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], names=["id", "set"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*[batch[c].to_pylist() for c in ("a", "b", "x", "y")], strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = np.concatenate([x, y])
+            for a, b, x, y in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["x"], batch["y"], strict=True):
+                both = np.concatenate([np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")])
                 both.sort()
                 inter = int((both[1:] == both[:-1]).sum())
                 total = len(both) - inter
