@@ -89,16 +89,19 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+ARROW_BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, which may have no
-    copy of it; once per application."""
+    copy of it, and set the session's Arrow batch size; once per application."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     _shipped.add(app)
+    # texts are long: smaller batches than the usual 64 MB keep a worker's memory low
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     archive = os.path.join(tempfile.mkdtemp(prefix="ledgerstar-code-"), "ledgerstar_llm.zip")
     with zipfile.ZipFile(archive, "w") as z:
