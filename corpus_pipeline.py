@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerstar.llm import curriculum, ecoc_langid, mil_quality, sos_packing
-from ledgerstar.llm.jaccard_join import JaccardJoin
+from ledgerstar.llm.jaccard_join import JaccardJoin, without_ids
 from ledgerstar.llm.shared import shipped, stored, table
 
 
@@ -41,8 +41,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stored(JaccardJoin(docs.select("doc_id", "text")).components(), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    left = without_ids(docs, gone)
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return left
