@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .shared import table, without
-from .textscan import slices, string_bytes
+from .textscan import give_back, slices, string_bytes
 
 FEATURES = 2048
 PER_LANGUAGE = 1000
@@ -183,6 +183,7 @@ def scored(docs: DataFrame, model: LanguageModel | None, text: str = "text", mar
     def predict(texts: pa.Array) -> pa.Array:
         m = sent.value
         parts = [m.decode(ngram_features(texts.slice(a, b - a))) for a, b in slices(texts, rows=256)]
+        give_back()
         best, top, second = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0))
         return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in best], pa.string()), pa.array(top), pa.array(top < second + margin)],
                                           names=["lang_pred", "lang_score", "ambiguous"])

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .components import connected_components
 from .shared import partitions, stored, table
-from .textscan import mixed, shingle_sets, slices
+from .textscan import give_back, mixed, shingle_sets, slices
 
 COUNT_BITS = 20  # counts of chunk contents: 2**20 numbers, whatever the input
 COUNT_SLICES = 64
@@ -176,6 +176,7 @@ def scanned(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([
             pa.array(np.ones(m, np.int32)), *[pa.nulls(m, pa.int64())] * 4, *[pa.nulls(m, pa.binary())] * 2, pa.array(np.arange(m, dtype=np.int32)),
             pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())], names=NAMES)
+        give_back()
 
     return stored(docs.mapInArrow(run, INFO), "jaccard-scan")
 
@@ -250,6 +251,8 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
                     held, size = [], 0
         if held:
             yield blocks(*[np.concatenate(x) for x in zip(*held, strict=True)])
+        held = []
+        give_back()
 
     def grouped(part, raw) -> pa.RecordBatch:
         keys = np.concatenate([np.frombuffer(x[0].as_buffer(), "<u4") for x in raw])
@@ -283,6 +286,8 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
                 raw.append(row[1:])
         if raw:
             yield grouped(here, raw)
+        raw = []
+        give_back()
 
     keyed = docs.mapInArrow(emit, "part long, keys binary, docs binary, hot binary")
     dealt = keyed.repartition(max(partitions(spark), min(n_parts, 10 * partitions(spark))), "part").sortWithinPartitions("part")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ecoc_langid import in_fold
 from .shared import table, without
-from .textscan import mixed, slices, string_bytes, word_hashes, words
+from .textscan import give_back, mixed, slices, string_bytes, word_hashes, words
 
 PASSAGE_WORDS = 48
 MAX_LABELLED = 3000
@@ -242,6 +242,7 @@ def scored(docs: DataFrame, model: AttentionModel, text: str = "text") -> DataFr
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         parts = [sent.value.scores(*passages(texts.slice(a, b - a))) for a, b in slices(texts)]
+        give_back()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return without(docs, "quality_score").withColumn("quality_score", score(F.coalesce(F.col(text), F.lit(""))))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .shared import table
-from .textscan import slices
+from .textscan import give_back, slices
 
 WINDOW = 2048
 END_ID = 1
@@ -108,7 +108,7 @@ _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per worker process, so its words outlive a task."""
+    """One tokenizer per worker process: loading the vocabulary takes a while."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
@@ -237,6 +237,8 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
                 yield rows()
         packer.cut_open(last=True)
         yield rows()
+        words.forget()  # the next task of this worker may be of another kind
+        give_back()
 
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, PIECES)
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = (1 << 20) - 1  # with one more, the tables of powers stay at 2**20 numbers
 
 # Word separators: space and the bytes 9 to 13.
 IS_SPACE = np.zeros(256, bool)
@@ -19,6 +21,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"): ord("Z") + 1] += 32
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker serves many tasks,
+    and what one of them needed at its peak would stay with it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets from 0) of a string column; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
