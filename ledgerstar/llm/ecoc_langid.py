@@ -4,13 +4,17 @@ Every learned language has a codeword of bits; one logistic classifier per bit,
 over hashed byte n-gram frequencies of the whole text, predicts it.  Decoding
 takes the language whose codeword has the least weighted logistic loss; a bit's
 weight for a language is how well its classifier does on that language.  A
-document whose two best languages are close is flagged as ambiguous.
+document whose two best languages are close is flagged as ambiguous.  One that
+fits no codeword is `und`: its least loss lies beyond a bound learned from the
+losses of labelled rows under classifiers fitted without them.  The bound is
+loose, and texts under `SHORT` characters say too little to be refused.
 
 The classifiers are fitted on a bounded sample (`per_language` labelled rows
 of every language, by hash of the id); everything else covers all rows.
 
-Defined results: a null text or one without a letter is `und` with score 0; a
-null lang is no label; with no labelled row every document is `und`; with one
+Defined results: a null text or one without a letter, or beyond the bound, is
+`und` with score 0; a null lang is no label; with no labelled row every document
+is `und`; with labels too few for a bound no document is refused; with one
 language every document with a letter gets it, score 1; ties go to the first
 language; repeated rows are scored alike; an empty table gives an empty result;
 other columns are kept in scored() unless they have a name that it adds.
@@ -33,6 +37,9 @@ FEATURES = 2048
 PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200  # fitted languages: those with the most rows
 UNKNOWN = "und"
+SHORT = 20
+USUAL, SLACK = 0.999, 1.1  # the bound: this quantile of the labelled rows' losses times the slack,
+LEAST_BOUND = np.log(2) / 2  # and no less than half the loss of bits that say nothing
 MARGIN = 0.2  # ambiguous: the best language's share is below that of the next plus this
 HELD_OUT = 2
 
@@ -114,19 +121,29 @@ class LanguageModel:
     w: np.ndarray
     b: np.ndarray
     trust: np.ndarray  # (languages, bits), rows sum to one
+    bound: float = np.inf  # no language fits beyond this loss
+
+    def losses(self, x: np.ndarray) -> np.ndarray:
+        """Weighted loss of every language's codeword for feature rows."""
+        margin = (x @ self.w.astype(np.float32)).astype(np.float64) + self.b
+        # log(1 + e^m) = log(1 + e^-m) + m, so two products cover both signs of a bit
+        return np.logaddexp(0, -margin) @ self.trust.T + margin @ (self.trust * (self.code < 0)).T
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best language, its share, the next one's share) of feature rows."""
-        margin = (x @ self.w.astype(np.float32)).astype(np.float64) + self.b
-        loss = np.logaddexp(0, -self.code[None] * margin[:, None, :])
-        total = -(loss * self.trust[None]).sum(axis=2)
-        share = np.exp(total - total.max(axis=1, keepdims=True))
+        return self.decided(x)[:3]
+
+    def decided(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """decode() and whether the best language's loss is within the bound."""
+        loss = self.losses(x)
+        least = loss.min(axis=1, keepdims=True)
+        share = np.exp(least - loss)
         share /= share.sum(axis=1, keepdims=True)
         best = share.argmax(axis=1)
         rows = np.arange(len(share))
         top = share[rows, best]
         share[rows, best] = -1
-        return best, top, np.maximum(share.max(axis=1), 0)
+        return best, top, np.maximum(share.max(axis=1), 0), least[:, 0] <= self.bound
 
 
 def fitted(languages: list[str], x: np.ndarray, y: np.ndarray) -> LanguageModel:
@@ -141,6 +158,20 @@ def fitted(languages: list[str], x: np.ndarray, y: np.ndarray) -> LanguageModel:
     return LanguageModel(languages, code, w, b, trust / np.maximum(trust.sum(axis=1, keepdims=True), 1e-12))
 
 
+def loss_bound(x: np.ndarray, y: np.ndarray) -> float:
+    """The loss beyond which no language fits, from rows ordered by language:
+    every other row is decoded by a model of the rest, languages that it lacks
+    left out."""
+    losses = [np.zeros(0)]
+    for half in (0, 1):
+        known, of_row = np.unique(y[half::2], return_inverse=True)
+        rest = np.flatnonzero(np.isin(y[1 - half::2], known)) * 2 + 1 - half
+        if len(known) > 1 and len(rest):
+            losses.append(fitted([str(i) for i in known], x[half::2], of_row).losses(x[rest]).min(axis=1))
+    losses = np.concatenate(losses)
+    return max(SLACK * float(np.quantile(losses, USUAL)), LEAST_BOUND) if len(losses) else np.inf
+
+
 def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Fit on `per_language` rows of (id, text, lang) for every language.  Rows
     are chosen by id alone; what reaches the driver is their feature rows, at
@@ -169,7 +200,10 @@ def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER
     x = np.frombuffer(b"".join(got["x"].to_pylist()), "<f2").reshape(-1, FEATURES).astype(np.float32)
     y = np.array([languages.index(v) for v in names])
     order = np.lexsort((x[:, 0], x[:, 1], x[:, 2], y))  # the same sums however Spark dealt the rows
-    return fitted(languages, x[order], y[order])
+    x, y = x[order], y[order]
+    model = fitted(languages, x, y)
+    model.bound = loss_bound(x, y)
+    return model
 
 
 def scored(docs: DataFrame, model: LanguageModel | None, text: str = "text", margin: float = MARGIN) -> DataFrame:
@@ -182,11 +216,12 @@ def scored(docs: DataFrame, model: LanguageModel | None, text: str = "text", mar
     @F.arrow_udf("lang_pred string, lang_score double, ambiguous boolean")
     def predict(texts: pa.Array) -> pa.Array:
         m = sent.value
-        parts = [m.decode(ngram_features(texts.slice(a, b - a))) for a, b in slices(texts, rows=256)]
+        parts = [m.decided(ngram_features(texts.slice(a, b - a))) for a, b in slices(texts, rows=256)]
         give_back()
-        best, top, second = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0))
+        best, top, second, fits = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, bool))
+        fits |= pc.utf8_length(texts).to_numpy(zero_copy_only=False) < SHORT
         return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in best], pa.string()), pa.array(top), pa.array(top < second + margin)],
-                                          names=["lang_pred", "lang_score", "ambiguous"])
+                                          names=["lang_pred", "lang_score", "ambiguous"], mask=pa.array(~fits))
 
     letter = F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False))
     out = kept.withColumn("_lang", F.when(letter, predict(F.coalesce(F.col(text), F.lit("")))))

@@ -1,4 +1,5 @@
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,13 @@ def test_run_equals_the_stages_one_by_one(spark, docs, sf):
     tokens = lambda x: sorted((r.doc_id, r.n) for r in x.groupBy("doc_id").agg(F.sum("length").alias("n")).collect())
     assert tokens(whole) == tokens(STAGES["pack"](spark, df, sf))
     assert ecoc_langid.UNKNOWN not in {r.lang for r in df.collect()}
+
+
+def test_language_stage_drops_what_fits_no_language(spark, docs, sf):
+    rng = np.random.default_rng(4)
+    draw = lambda letters: "".join(rng.choice(list(letters), 600))
+    kinds = ["abcdefghijklmnopqrstuvwxyz ", "ÃÂ©¤¶¼Ÿâ€™œ ", "абвгдежзиклмнопрстуфхцчшщыья ", "{}();=<>ifxn0_ "]
+    noise = [(10**7 + 4 * i + k, draw(kind), "en", "s", 600) for i in range(25) for k, kind in enumerate(kinds)]
+    got = {r.doc_id for r in STAGES["language_id"](spark, docs.unionByName(spark.createDataFrame(noise, docs.schema)).withColumn("lang", F.when(F.col("doc_id") < 10**7, F.col("lang"))), sf).select("doc_id").collect()}
+    assert got >= {r.doc_id for r in docs.select("doc_id").collect()}
+    assert sum(r[0] in got for r in noise) <= len(noise) // 5
