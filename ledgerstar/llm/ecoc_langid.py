@@ -9,8 +9,10 @@ fits no codeword is `und`: its least loss lies beyond a bound learned from the
 losses of labelled rows under classifiers fitted without them.  The bound is
 loose, and texts under `SHORT` characters say too little to be refused.
 
-The classifiers are fitted on a bounded sample (`per_language` labelled rows
-of every language, by hash of the id); everything else covers all rows.
+The classifiers are fitted on a bounded sample of labelled rows, chosen by hash
+of the id: `per_language` rows of every language, or with many languages an
+equal part of `FIT_ROWS` each, `LEAST_ROWS` at least.  No language is left out;
+everything else covers all rows.
 
 Defined results: a null text or one without a letter, or beyond the bound, is
 `und` with score 0; a null lang is no label; with no labelled row every document
@@ -35,7 +37,7 @@ from .textscan import give_back, slices, string_bytes
 
 FEATURES = 2048
 PER_LANGUAGE = 1000
-MAX_LANGUAGES = 200  # fitted languages: those with the most rows
+FIT_ROWS, LEAST_ROWS = 24_000, 20
 UNKNOWN = "und"
 SHORT = 20
 USUAL, SLACK = 0.999, 1.1  # the bound: this quantile of the labelled rows' losses times the slack,
@@ -91,7 +93,7 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     for _ in range(200):
         code = rng.choice(np.array([-1, 1], np.int8), (n, bits))
         code[0, np.abs(code.sum(axis=0)) == n] *= -1  # no bit is the same for all
-        gram = code.astype(int) @ code.T
+        gram = code.astype(np.float32) @ code.T.astype(np.float32)
         far = int((bits - np.where(np.eye(n, dtype=bool), -bits, gram)).min()) // 2
         if far > apart:
             best, apart = code, far
@@ -173,17 +175,19 @@ def loss_bound(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """Fit on `per_language` rows of (id, text, lang) for every language.  Rows
-    are chosen by id alone; what reaches the driver is their feature rows, at
-    most per_language * MAX_LANGUAGES of FEATURES numbers."""
+    """Fit on rows of (id, text, lang) of every language.  Rows are chosen by id
+    alone; what reaches the driver is their feature rows of FEATURES numbers:
+    FIT_ROWS, or LEAST_ROWS a language where that is more."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    # a share of each language by hash, ample for per_language rows, then exactly so many
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    some = usable.select(F.col(id_col).alias("_id"), "lang", place.alias("_p")).join(F.broadcast(top), "lang")
-    some = some.where(F.col("_p") * F.col("count") < 1.2 * per_language + 100)
+    sizes = usable.groupBy("lang").count()
+    equal = F.floor(F.lit(FIT_ROWS) / F.count(F.lit(1)).over(Window.partitionBy()))  # a window over one row a language
+    sizes = sizes.withColumn("_k", F.least(F.lit(per_language), F.greatest(equal, F.lit(LEAST_ROWS))))
+    # a share of each language by hash, ample for its rows, then exactly so many
+    spot = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
+    some = usable.select(F.col(id_col).alias("_id"), "lang", spot.alias("_p")).join(F.broadcast(sizes), "lang")
+    some = some.where(F.col("_p") * F.col("count") < 1.2 * F.col("_k") + 100)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_p", "_id"))
-    chosen = some.withColumn("_r", rank).where(F.col("_r") <= per_language).select("_id").distinct()
+    chosen = some.withColumn("_r", rank).where(F.col("_r") <= F.col("_k")).select("_id").distinct()
     rows = usable.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left_semi").select("lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +202,8 @@ def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER
     names = got["lang"].to_pylist()
     languages = sorted(set(names))
     x = np.frombuffer(b"".join(got["x"].to_pylist()), "<f2").reshape(-1, FEATURES).astype(np.float32)
-    y = np.array([languages.index(v) for v in names])
+    place = {v: i for i, v in enumerate(languages)}
+    y = np.array([place[v] for v in names])
     order = np.lexsort((x[:, 0], x[:, 1], x[:, 2], y))  # the same sums however Spark dealt the rows
     x, y = x[order], y[order]
     model = fitted(languages, x, y)

@@ -138,3 +138,22 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, documents, saved):
     a = sorted((r.doc_id, round(r.score, 4)) for r in mil.op3_query(spark, "/root/testdata/sf0.001").collect())
     b = sorted((r.doc_id, round(r.score, 4)) for r in mil.op3_query(spark, folder).collect())
     assert a == b
+
+
+def test_every_language_is_learned(spark, documents, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(210):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(6)]
+        rows += [(4 * k + i, " ".join(rng.permutation(words)) + " .", f"l{k:03}", None) for i in range(3 if k < 200 else 2)]
+    docs = documents(rows)
+    model = lang.trained(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    right = [r.lang_pred == r.lang for r in lang.scored(docs, model).select("lang", "lang_pred").collect()]
+    assert len(right) == len(rows) and np.mean(right) > 0.98
+    many = documents([(i, f"word{i % 7} text", f"l{i % 4}", None) for i in range(400)])
+    seen = []
+    monkeypatch.setattr(lang, "fitted", lambda languages, x, y, f=lang.fitted: seen.append(np.bincount(y)) or f(languages, x, y))
+    monkeypatch.setattr(lang, "FIT_ROWS", 120)
+    lang.trained(many)
+    assert list(seen[0]) == [30] * 4
