@@ -36,7 +36,7 @@ from .shared import table, without
 from .textscan import give_back, slices, string_bytes
 
 FEATURES = 2048
-PER_LANGUAGE = 1000
+PER_LANGUAGE = 1200
 FIT_ROWS, LEAST_ROWS = 24_000, 20
 UNKNOWN = "und"
 SHORT = 20
@@ -100,16 +100,16 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     return best
 
 
-def fit_bits(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200, decay: float = 1e-5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_bits(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 300, decay: float = 1e-5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weighted logistic regressions of all bits at once (Adam on the full
     sample): coefficients (features, bits) and intercepts."""
     w, b = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
     moments = [np.zeros_like(p) for p in (w, w, b, b)]
     weight = (weight / weight.sum())[:, None]
     for step in range(1, steps + 1):
-        margin = y * (x @ w + b)
+        margin = y * (x @ w.astype(x.dtype) + b)
         pull = -y * weight / (1 + np.exp(np.clip(margin, -60, 60)))
-        for p, g, m, v in ((w, x.T @ pull + decay * w, moments[0], moments[1]), (b, pull.sum(axis=0), moments[2], moments[3])):
+        for p, g, m, v in ((w, x.T @ pull.astype(x.dtype) + decay * w, moments[0], moments[1]), (b, pull.sum(axis=0), moments[2], moments[3])):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

@@ -157,3 +157,13 @@ def test_every_language_is_learned(spark, documents, monkeypatch):
     monkeypatch.setattr(lang, "FIT_ROWS", 120)
     lang.trained(many)
     assert list(seen[0]) == [30] * 4
+
+
+def test_language_fit_takes_its_rows_and_steps(spark, documents, monkeypatch):
+    many = documents([(i, f"word{i % 7} text", f"l{i % 2}", None) for i in range(3000)])
+    seen = []
+    monkeypatch.setattr(lang, "fitted", lambda languages, x, y, f=lang.fitted: seen.append(np.bincount(y)) or f(languages, x, y))
+    lang.trained(many)
+    assert list(seen[0]) == [1200] * 2
+    x, y = np.eye(2, lang.FEATURES, dtype=np.float32), np.array([[1.0], [-1.0]], np.float32)
+    assert np.allclose(lang.fit_bits(x, y, np.ones(2))[0], lang.fit_bits(x, y, np.ones(2), steps=300)[0])
