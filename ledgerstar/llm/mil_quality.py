@@ -6,8 +6,9 @@ learned layer); gated attention, learned from document labels alone, weighs
 the passages; the weighted representation is scored.  So one bad stretch of a
 long text can decide, and its weight tells which one it was.
 
-The model is fitted on a bounded sample: `MAX_LABELLED` labelled documents by
-hash of the id, of each at most `MAX_PASSAGES` passages, evenly spaced.
+The model is fitted on a bounded sample: labelled documents in the order of a
+hash of the id, each with all its passages, until there are `MAX_LABELLED`
+documents or `MAX_PASSAGES` passages (the last document is taken whole too).
 Scoring takes every passage of every text.
 
 Defined results: a null text or one without a word has no passage and gets the
@@ -24,15 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .ecoc_langid import in_fold
-from .shared import table, without
+from .shared import table, without, word_count
 from .textscan import give_back, mixed, slices, string_bytes, word_hashes, words
 
 PASSAGE_WORDS = 48
 MAX_LABELLED = 3000
-MAX_PASSAGES = 48
+MAX_PASSAGES = MAX_LABELLED * 48
 GRAMS = 112
 SHAPES = 128
 STATS = 16
@@ -207,12 +208,17 @@ def fitted(x: np.ndarray, offsets: np.ndarray, y: np.ndarray, epochs: int = 15,
     return model
 
 
-def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_labelled: int = MAX_LABELLED) -> AttentionModel:
-    """Fit on docs (id, text) that labels (id, quality) name.  At most
-    max_labelled documents of MAX_PASSAGES feature rows reach the driver."""
+def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_labelled: int = MAX_LABELLED, max_passages: int = MAX_PASSAGES) -> AttentionModel:
+    """Fit on docs (id, text) that labels (id, quality) name.  What reaches the
+    driver is the feature rows of at most max_labelled whole documents, and of
+    only one beyond max_passages."""
     known = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").alias("_y"))
     here = known.join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi")
     chosen = here.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
+    made = F.ceil(word_count(F.col("text")) / PASSAGE_WORDS)
+    sizes = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).groupBy("_id", "_y").agg(F.sum(made).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, -1))  # over max_labelled rows
+    chosen = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < max_passages).select("_id", "_y")
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col("_id").cast("long").alias("id"), F.col("_y").cast("double").alias("y"), "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +226,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_labe
             for a, b in slices(batch["text"]):
                 part = batch.slice(a, b - a)
                 x, at = passages(part["text"])
-                bags = []
-                for i, j in zip(at[:-1], at[1:], strict=True):
-                    pick = np.unique(np.linspace(i, j - 1, min(j - i, MAX_PASSAGES)).astype(int)) if j > i else []
-                    bags.append(x[pick].astype("<f2").tobytes() if j > i else b"")
+                bags = [x[i:j].astype("<f2").tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part["id"], part["y"], pa.array(bags, pa.binary())], names=["id", "y", "x"])
 
     got = rows.mapInArrow(features, "id long, y double, x binary").toArrow()

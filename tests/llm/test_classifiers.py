@@ -167,3 +167,15 @@ def test_language_fit_takes_its_rows_and_steps(spark, documents, monkeypatch):
     assert list(seen[0]) == [1200] * 2
     x, y = np.eye(2, lang.FEATURES, dtype=np.float32), np.array([[1.0], [-1.0]], np.float32)
     assert np.allclose(lang.fit_bits(x, y, np.ones(2))[0], lang.fit_bits(x, y, np.ones(2), steps=300)[0])
+
+
+def test_quality_fit_takes_whole_documents(spark, documents, monkeypatch):
+    docs = documents([(i, "w " * (48 * i - 7), None, None) for i in range(1, 101)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 101)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(mil, "fitted", lambda x, offsets, y: seen.append(np.diff(offsets).tolist()) or mil.AttentionModel(0.5))
+    mil.trained(docs, labels)
+    mil.trained(docs, labels, max_passages=300)
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    some = [i for k, i in enumerate(order) if sum(order[:k]) < 300]
+    assert seen == [list(range(1, 101)), sorted(some)] and 1 < len(some) < 100
