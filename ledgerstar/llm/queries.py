@@ -13,6 +13,7 @@ from .mil_quality import op3_query
 from .sos_packing import op6_query
 from .shared import shipped
 from .warc_zstd import OP10_SQL, op10_query
+from .wu_manber import OP11_SQL, op11_query
 
 QUERIES = {
     "op1_ngram_jaccard_join": shipped(op1_query),
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_chat_format": shipped(op8_query),
     "op9_curriculum_mix": shipped(op9_query),
     "op10_warc_seekable": shipped(op10_query),
+    "op11_wu_manber_decontamination": shipped(op11_query),
 }
 
 SQL = {
     "op8_chat_format": OP8_SQL,
     "op9_curriculum_mix": OP9_SQL,
     "op10_warc_seekable": OP10_SQL,
+    "op11_wu_manber_decontamination": OP11_SQL,
 }
