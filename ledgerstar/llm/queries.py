@@ -10,6 +10,7 @@ from .ecoc_langid import op4_query
 from .hilbert import op2_query
 from .jaccard_join import op1_query
 from .mil_quality import op3_query
+from .recompression import op12_query
 from .sos_packing import op6_query
 from .shared import shipped
 from .warc_zstd import OP10_SQL, op10_query
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_curriculum_mix": shipped(op9_query),
     "op10_warc_seekable": shipped(op10_query),
     "op11_wu_manber_decontamination": shipped(op11_query),
+    "op12_recompression_runs": shipped(op12_query),
 }
 
 SQL = {
