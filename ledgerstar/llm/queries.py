@@ -13,6 +13,7 @@ from .mil_quality import op3_query
 from .recompression import op12_query
 from .sos_packing import op6_query
 from .shared import shipped
+from .token_align import op13_query
 from .warc_zstd import OP10_SQL, op10_query
 from .wu_manber import OP11_SQL, op11_query
 
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_warc_seekable": shipped(op10_query),
     "op11_wu_manber_decontamination": shipped(op11_query),
     "op12_recompression_runs": shipped(op12_query),
+    "op13_token_alignment": shipped(op13_query),
 }
 
 SQL = {
