@@ -3,7 +3,8 @@
 A text with a space before it is encoded by a byte-level BPE tokenizer (A) and by
 a sentencepiece model (B).  Neither has a token across a place where a character
 that is no white space is followed by a space, so texts are cut there into chunks,
-and the distinct chunks of a slice of texts are encoded once.  The tokenizers'
+and the distinct chunks of a slice of texts are encoded once (a worker remembers
+many of them for its next slices).  The tokenizers'
 character offsets and sentencepiece's proto spans give coarse cuts; between two
 cuts that hold several tokens (parts of a multibyte character, byte fallback) the
 lengths of the tokens' decoded bytes refine them, and the decoded bytes must be the
@@ -40,7 +41,8 @@ from .shared import partitions, stored, table
 from .textscan import give_back, slices, string_bytes
 
 SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
-ENCODED = 1 << 16  # bytes given to a tokenizer at once
+ENCODED = 1 << 14  # bytes given to a tokenizer at once
+REMEMBERED, REMEMBERED_BYTES = 400_000, 48 << 20
 SPELLED = "▁"
 PARTS = "kind int, slice long, payload binary, a int, b int, n int"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, groups string"
@@ -127,7 +129,9 @@ def refined_ends(begin: np.ndarray, end: np.ndarray, length: np.ndarray) -> tupl
     reach = np.maximum.accumulate(end)
     after = np.append(begin[1:], reach[-1])
     last = np.flatnonzero(after >= reach)
-    last = np.union1d(last[np.diff(reach[last], prepend=begin[0]) > 0], [len(begin) - 1])
+    last = last[np.diff(reach[last], prepend=begin[0]) > 0]
+    if not len(last) or last[-1] < len(begin) - 1:
+        last = np.append(last, len(begin) - 1)
     group = np.searchsorted(last, np.arange(len(begin)))
     start = np.concatenate([[begin[0]], reach[last[:-1]]])
     total = np.cumsum(length)
@@ -150,12 +154,19 @@ def chunk_starts(row: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Where chunks start in texts that start at heads: there, and at spaces
     behind what is no white space."""
     at = np.flatnonzero(row == 32)
-    return np.union1d(at[solid_before(row, at)], heads)
+    return distinct(np.concatenate([at[solid_before(row, at)], heads]))
+
+
+def distinct(values: np.ndarray, counted: bool = False):
+    """The values in order, each once; counted, with how often it was there."""
+    values = np.sort(values)
+    at = np.flatnonzero(np.diff(values, prepend=values[:1] - 1))
+    return (values[at], np.diff(np.append(at, len(values)))) if counted else values[at]
 
 
 class Alignment:
-    """Distinct chunks (laid end to end in row, cut at `cut`) encoded by both
-    tokenizers: token counts, links and groups of each."""
+    """Chunks (laid end to end in row, cut at `cut`) encoded by both tokenizers:
+    token counts, links (A id in the upper, B id in the lower half) and groups of each."""
 
     def __init__(self, row: np.ndarray, cut: np.ndarray, first: ByteTokenizer, second: PieceTokenizer):
         n = len(cut) - 1
@@ -167,11 +178,10 @@ class Alignment:
             sides.append((ids, ends))
         (a_ids, a_ends), (b_ids, b_ends) = [self._of_good(cut, *s) for s in sides]
         self.n_a, self.n_b = (np.diff(np.searchsorted(e, cut, side="right")) for e in (a_ends, b_ends))
-        ends = np.union1d(a_ends, b_ends)
-        self.link_at = np.searchsorted(ends, cut, side="right")
-        a, b = a_ids[np.searchsorted(a_ends, ends)], b_ids[np.searchsorted(b_ends, ends)]
-        self.pairs, self.link = np.unique(a << 32 | b, return_inverse=True)
-        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends, times = distinct(np.concatenate([a_ends, b_ends]), counted=True)
+        self.n_links = np.diff(np.searchsorted(ends, cut, side="right"))
+        self.links = a_ids[np.searchsorted(a_ends, ends)] << 32 | b_ids[np.searchsorted(b_ends, ends)]
+        both = ends[times == 2]
         self.n_groups = np.diff(np.searchsorted(both, cut, side="right"))
         parts = []
         for (ids, own), tokenizer in (((a_ids, a_ends), first), ((b_ids, b_ends), second)):
@@ -225,7 +235,37 @@ def _spread(at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(of)), n), np.repeat(at[of] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
-def aligned_slice(ids: pa.Array, texts: pa.Array, first: ByteTokenizer, second: PieceTokenizer, with_groups: bool):
+class Book:
+    """Chunks that a worker has encoded, with what Alignment knows of them; all
+    are forgotten when there are REMEMBERED chunks or REMEMBERED_BYTES of them."""
+
+    def __init__(self, first: ByteTokenizer, second: PieceTokenizer):
+        self.tokenizers = first, second
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks, self.groups = pa.array([], pa.large_binary()), pa.array([], pa.large_string())
+        self.good = np.zeros(0, bool)
+        self.counts = np.zeros((4, 0), np.int64)  # A tokens, B tokens, groups, links
+        self.links = np.zeros(0, np.int64)
+
+    def rows(self, chunks: pa.Array) -> np.ndarray:
+        """The row in this book of every one of some different chunks."""
+        if len(self.chunks) > REMEMBERED or self.chunks.nbytes + self.groups.nbytes > REMEMBERED_BYTES:
+            self.forget()
+        at = pc.index_in(chunks, value_set=self.chunks)
+        new, at = at.is_null().to_numpy(zero_copy_only=False), at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[new] = len(self.chunks) + np.arange(new.sum())
+        if new.any():
+            more = chunks.filter(pa.array(new))
+            found = Alignment(*string_bytes(more.cast(pa.large_string())), *self.tokenizers)
+            self.chunks, self.groups = pa.concat_arrays([self.chunks, more]), pa.concat_arrays([self.groups, found.groups])
+            self.good, self.links = np.concatenate([self.good, found.good]), np.concatenate([self.links, found.links])
+            self.counts = np.concatenate([self.counts, [found.n_a, found.n_b, found.n_groups, found.n_links]], axis=1)
+        return at
+
+
+def aligned_slice(ids: pa.Array, texts: pa.Array, book: Book, with_groups: bool):
     """(payload, pairs, documents per pair) of a slice of texts: what is known
     without other documents, and what `finished` needs to complete it."""
     data, offsets = string_bytes(texts)
@@ -237,33 +277,36 @@ def aligned_slice(ids: pa.Array, texts: pa.Array, first: ByteTokenizer, second:
     buffers = [None, pa.py_buffer(np.append(starts, len(row))), pa.py_buffer(row)]
     chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
     index = chunks.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    whole, cut = string_bytes(chunks.dictionary.cast(pa.large_string()))
-    found = Alignment(whole, cut, first, second)
+    known = book.rows(chunks.dictionary)
+    counts, n_chunks = book.counts[:, known], len(known)
+    _, link = _spread(np.concatenate([[0], np.cumsum(book.counts[3])]), known)
+    link = book.links[link]
+    pairs = distinct(link)
+    link, link_at = np.searchsorted(pairs, link), np.concatenate([[0], np.cumsum(counts[3])])
     # chunks of text t: index[at[t]: at[t + 1]]; a text with a bad chunk has none
     own = np.zeros(n_texts, np.int64)
     own[filled] = np.diff(np.append(np.searchsorted(starts, heads), len(starts)))
     text = np.repeat(np.arange(n_texts), own)
     spoilt = np.zeros(n_texts, bool)
-    spoilt[text[~found.good[index]]] = True
+    spoilt[text[~book.good[known][index]]] = True
     index, text = index[~spoilt[text]], text[~spoilt[text]]
     at = np.searchsorted(text, np.arange(n_texts + 1))
-    total = lambda per_chunk: np.bincount(text, weights=per_chunk[index], minlength=n_texts).astype(np.int64)
-    spelled = _joined(found.groups.take(pa.array(index)), at, ";")
+    spelled = _joined(book.groups.take(pa.array(known[index])), at, ";")
     digests = [hashlib.sha256(memoryview(g.as_buffer())).hexdigest() if b > a else "" for g, a, b in zip(spelled, at[:-1], at[1:], strict=True)]
     # a text's distinct chunks, then its distinct pairs
-    held, times = np.unique(text * len(cut) + index, return_counts=True)
-    held_text, held_chunk = held // len(cut), held % len(cut)
-    which, link = _spread(found.link_at, held_chunk)
-    pair = np.unique(held_text[which] * max(1, len(found.pairs)) + found.link[link]) % max(1, len(found.pairs))
-    documents = np.bincount(pair, minlength=len(found.pairs))
+    held, times = distinct(text * (n_chunks + 1) + index, counted=True)
+    held_text, held_chunk = held // (n_chunks + 1), held % (n_chunks + 1)
+    which, at_link = _spread(link_at, held_chunk)
+    pair = distinct(held_text[which] * max(1, len(pairs)) + link[at_link]) % max(1, len(pairs))
+    documents = np.bincount(pair, minlength=len(pairs))
     used = np.flatnonzero(documents)  # pairs of spoilt texts alone are in no document
     renumbered = np.cumsum(documents > 0) - 1
     payload = {
-        "ids": ids.to_pylist(), "counts": [total(x) for x in (found.n_a, found.n_b, found.n_groups, np.diff(found.link_at))], "digests": digests,
+        "ids": ids.to_pylist(), "counts": [np.bincount(text, weights=x[index], minlength=n_texts).astype(np.int64) for x in counts], "digests": digests,
         "groups": spelled.to_pylist() if with_groups else None, "text": held_text.astype(np.int32), "chunk": held_chunk.astype(np.int32), "times": times.astype(np.int32),
-        "link_at": found.link_at, "link": np.where(documents[found.link] > 0, renumbered[found.link], 0).astype(np.int32),
+        "link_at": link_at, "link": np.where(documents[link] > 0, renumbered[link], 0).astype(np.int32),
     }
-    return payload, found.pairs[used], documents[used]
+    return payload, pairs[used], documents[used]
 
 
 def finished(payload: dict, count: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
@@ -285,26 +328,27 @@ def finished(payload: dict, count: np.ndarray, best: np.ndarray) -> pa.RecordBat
     ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"])
 
 
-_loaded: dict[str, object] = {}
+_books: dict[tuple[str, str], Book] = {}
 
 
-def _tokenizer(kind, path: str):
-    if path not in _loaded:
-        _loaded[path] = kind(path)
-    return _loaded[path]
+def _book(first: str, second: str) -> Book:
+    """One book per worker process and pair of tokenizers."""
+    if (first, second) not in _books:
+        _books[first, second] = Book(ByteTokenizer(first), PieceTokenizer(second))
+    return _books[first, second]
 
 
 def sliced(docs: DataFrame, first: str, second: str, with_groups: bool = False) -> DataFrame:
     """Stored: kind 0, a row per slice of documents; kind 1, its distinct pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _tokenizer(ByteTokenizer, first), _tokenizer(PieceTokenizer, second)
+        book = _book(first, second)
         number = TaskContext.get().partitionId() << 33
 
         def made(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = pa.Table.from_batches(parts).combine_chunks()
             ids, texts = (pa.concat_arrays(rows[c].chunks) for c in ("doc_id", "text"))
-            payload, pairs, n = aligned_slice(ids, texts, a, b, with_groups)
+            payload, pairs, n = aligned_slice(ids, texts, book, with_groups)
             yield _rows(0, number, payload=zstandard.compress(pickle.dumps(payload), 1))
             for i in range(0, len(pairs), 100_000):
                 yield _rows(1, number, pairs[i: i + 100_000], n[i: i + 100_000])

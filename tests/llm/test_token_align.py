@@ -6,7 +6,7 @@ import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from ledgerstar.llm import token_align
-from ledgerstar.llm.token_align import ByteTokenizer, PieceTokenizer, aligned, aligned_slice, default_tokenizers, op13_query, refined_ends
+from ledgerstar.llm.token_align import Book, ByteTokenizer, PieceTokenizer, aligned, aligned_slice, default_tokenizers, op13_query, refined_ends
 
 A, B = ByteTokenizer(default_tokenizers()[0]), PieceTokenizer(default_tokenizers()[1])
 TEXTS = [None, "", " ", "a", "hello  world\nfoo  ", " lead", "日本語 é x y", "🎉ok 𓀀x é", "a ▁b", "▁", "x<s> <0x41> <|endoftext|> </s>", "don't  stop\r\n\tnow", "\x00a\x01 b",
@@ -83,13 +83,14 @@ def test_query_in_small_slices(spark, saved, documents, sf, monkeypatch):
     check(rows, op13_query(spark, folder).collect())
 
 
+BOOK = Book(A, B)
 PART = st.one_of(st.sampled_from(TEXTS[2:18]), st.text(max_size=6), st.sampled_from([" ", "  ", "\n", "\xa0", "ab", "the", "'s", "▁", "é", "日"]))
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(PART, max_size=7).map("".join), max_size=4))
 def test_slices_equal_whole_texts(texts):
-    payload, pairs, n = aligned_slice(pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string()), A, B, True)
+    payload, pairs, n = aligned_slice(pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string()), BOOK, True)
     got = token_align.finished(payload, n, np.zeros(len(n), bool)).to_pylist()
     for r, (_, a, b, g, links, _, total, groups) in zip(got, brute(list(enumerate(texts))), strict=True):
         assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["count_sum"]) == (a, b, g, links, total)
