@@ -42,7 +42,7 @@ from .textscan import give_back, slices, string_bytes
 
 SLICE = 8 << 20  # bytes of text whose distinct chunks are encoded together
 ENCODED = 1 << 14  # bytes given to a tokenizer at once
-REMEMBERED, REMEMBERED_BYTES = 400_000, 48 << 20
+REMEMBERED, REMEMBERED_BYTES = 600_000, 96 << 20
 SPELLED = "▁"
 PARTS = "kind int, slice long, payload binary, a int, b int, n int"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, groups string"
@@ -236,8 +236,9 @@ def _spread(at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Book:
-    """Chunks that a worker has encoded, with what Alignment knows of them; all
-    are forgotten when there are REMEMBERED chunks or REMEMBERED_BYTES of them."""
+    """Chunks that a worker has encoded, with what Alignment knows of them.  When
+    there are REMEMBERED chunks or REMEMBERED_BYTES of them, those of one slice
+    only are forgotten (all, if too many are left)."""
 
     def __init__(self, first: ByteTokenizer, second: PieceTokenizer):
         self.tokenizers = first, second
@@ -248,11 +249,24 @@ class Book:
         self.good = np.zeros(0, bool)
         self.counts = np.zeros((4, 0), np.int64)  # A tokens, B tokens, groups, links
         self.links = np.zeros(0, np.int64)
+        self.seen = np.zeros(0, np.int32)  # slices that held the chunk, lately
+
+    def full(self, share: float = 1.0) -> bool:
+        return len(self.chunks) > share * REMEMBERED or self.chunks.nbytes + self.groups.nbytes > share * REMEMBERED_BYTES
+
+    def thin_out(self) -> None:
+        keep = np.flatnonzero(self.seen > 1)
+        _, link = _spread(np.concatenate([[0], np.cumsum(self.counts[3])]), keep)
+        at = pa.array(keep)
+        self.chunks, self.groups = self.chunks.take(at), self.groups.take(at)
+        self.good, self.links, self.counts, self.seen = self.good[keep], self.links[link], self.counts[:, keep], self.seen[keep] // 2
+        if self.full(0.5):
+            self.forget()
 
     def rows(self, chunks: pa.Array) -> np.ndarray:
         """The row in this book of every one of some different chunks."""
-        if len(self.chunks) > REMEMBERED or self.chunks.nbytes + self.groups.nbytes > REMEMBERED_BYTES:
-            self.forget()
+        if self.full():
+            self.thin_out()
         at = pc.index_in(chunks, value_set=self.chunks)
         new, at = at.is_null().to_numpy(zero_copy_only=False), at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         at[new] = len(self.chunks) + np.arange(new.sum())
@@ -262,6 +276,8 @@ class Book:
             self.chunks, self.groups = pa.concat_arrays([self.chunks, more]), pa.concat_arrays([self.groups, found.groups])
             self.good, self.links = np.concatenate([self.good, found.good]), np.concatenate([self.links, found.links])
             self.counts = np.concatenate([self.counts, [found.n_a, found.n_b, found.n_groups, found.n_links]], axis=1)
+            self.seen = np.concatenate([self.seen, np.zeros(len(more), np.int32)])
+        self.seen[at] += 1
         return at
 
 

@@ -106,3 +106,14 @@ def test_spans_are_refined_by_decoded_bytes():
     assert ends.tolist() == [1, 2, 3, 4, 5, 6] and agree.all()
     ends, agree = refined_ends(np.array([0, 4, 5]), np.array([4, 5, 7]), np.array([2, 1, 2]))
     assert agree.tolist() == [False, True, True] and ends.tolist()[1:] == [5, 7]
+
+
+def test_book_forgets_and_stays_right(monkeypatch):
+    monkeypatch.setattr(token_align, "REMEMBERED", 12)
+    book = Book(A, B)
+    for k in range(12):
+        texts = [f"the cat {' '.join(f'w{k}x{i}' for i in range(k))} sat", "the mat"]
+        payload, pairs, n = aligned_slice(pa.array([0, 1], pa.int64()), pa.array(texts, pa.string()), book, True)
+        for r, (_, a, b, g, links, _, total, groups) in zip(token_align.finished(payload, n, np.zeros(len(n), bool)).to_pylist(), brute(list(enumerate(texts))), strict=True):
+            assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["count_sum"], r["groups"]) == (a, b, g, links, total, ";".join(groups))
+    assert len(book.chunks) < 40
