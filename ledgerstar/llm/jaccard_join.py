@@ -8,9 +8,13 @@ the sets.  A chunk's content is kept as the XOR of its shingles' hashes.
 
 Sets with 100 |A and B| >= 75 |A or B| differ in at most a third of either's
 size.  So of the chunks that are not empty at most d = |A| / 3 differ, and when
-chunks stand in one order for all documents (rarest content first, by counts
-over all documents) the first d + 1 of A and of B share one: pigeonhole.  Those
-chunks are the join keys; nothing is capped, so no link can be missed.  The
+chunks stand in one order for all documents the first d + 1 of A and of B share
+one: pigeonhole.  Those chunks are the join keys; nothing is capped, so no link
+can be missed.  The order puts contents that more than HEAVY documents hold last
+(all chunks of all documents are counted for that, each in its own part of the
+keys), so a passage that many documents share is no key of a document that has
+enough chunks beside it.  Heavy contents travel as a bit filter of bounded size;
+what it takes for heavy by mistake stands last for all documents alike.  The
 number of chunks is such that a set leaves more than d + 1 of them non-empty
 (one chunk per shingle in small bands; in larger ones the odds of a shortfall
 are below 1e-20).  Candidates must pass the size bound and the Hamming bound,
@@ -31,7 +35,6 @@ read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,13 +48,13 @@ from .components import connected_components
 from .shared import partitions, stored, table
 from .textscan import give_back, mixed, shingle_sets, slices
 
-COUNT_BITS = 21  # counts of chunk contents: 2**21 numbers, whatever the input
-COUNT_SLICES = 64
+HEAVY = 64  # contents of more documents stand last; doubled while MOST_HEAVY are exceeded
+MOST_HEAVY = 1 << 22
 PART_KEYS = 2_000_000  # join keys that one reduce step holds
 HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
-INFO = "kind int, doc_id long, n long, d1 long, d2 long, sketch binary, wide binary, slot int, counts binary"
+INFO = "doc_id long, n long, d1 long, d2 long, sketch binary, wide binary"
 SKETCH_WORDS = 8
 WIDE_FROM = 128  # sets of at least so many shingles have a wide sketch too
 BLOOM_BITS = 1 << 26  # at most so many bits say which documents' sets are wanted
@@ -147,76 +150,109 @@ class _Seen:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """Stored: kind 0, a row per document (size, digest and folded sketch of
-    its set); kind 1, how many documents hold each chunk content, as counts
-    per hash of the content (a fixed number of them a task)."""
+    """Stored: size, digest and sketches of every document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen, met, n_met = np.zeros(1 << COUNT_BITS, np.int64), _Seen(), [], 0
         for batch in batches:
-            for ids, null, values, offsets in _sets(batch):
-                digests = _digests(values, offsets)
-                fresh = seen.fresh(digests, ~null & (np.diff(offsets) > 0))
-                for _, keys, _ in document_keys(values, offsets, fresh):
-                    met.append((keys & np.uint64(len(counts) - 1)).astype(np.int64))
-                    n_met += len(keys)
-                if n_met > 500_000:
-                    counts += np.bincount(np.concatenate(met), minlength=len(counts))
-                    met, n_met = [], 0
-                sketch = folded(values, offsets)
-                m = len(ids)
+            for ids, _, values, offsets in _sets(batch):
+                digests, sketch = _digests(values, offsets), folded(values, offsets)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.zeros(m, np.int32)), ids.cast(pa.int64()), pa.array(np.diff(offsets)), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
+                    ids.cast(pa.int64()), pa.array(np.diff(offsets)), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
                     pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array([wide_sketch(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()),
-                    pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=NAMES)
-        if met:
-            counts += np.bincount(np.concatenate(met), minlength=len(counts))
-        parts = np.minimum(counts, (1 << 32) - 1).astype("<u4").reshape(COUNT_SLICES, -1)
-        m = len(parts)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.ones(m, np.int32)), *[pa.nulls(m, pa.int64())] * 4, *[pa.nulls(m, pa.binary())] * 2, pa.array(np.arange(m, dtype=np.int32)),
-            pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())], names=NAMES)
+                ], names=["doc_id", "n", "d1", "d2", "sketch", "wide"])
         give_back()
 
     return stored(docs.mapInArrow(run, INFO), "jaccard-scan")
 
 
-NAMES = ["kind", "doc_id", "n", "d1", "d2", "sketch", "wide", "slot", "counts"]
+def content_ids(keys: np.ndarray, n_parts: int) -> np.ndarray:
+    """A content's part and its place among 2**24 in it, as one number."""
+    return ((keys % np.uint64(n_parts)) << np.uint64(24) | keys >> np.uint64(40)).astype(np.int64)
+
 
+def heavy_contents(docs: DataFrame, total: int, part_keys: int, over: int) -> tuple[DataFrame, int]:
+    """(stored (id, place, count), parts): the contents that more than `over`
+    documents hold, out of all chunks of all documents; copies that a task meets
+    count once.  Three bytes a chunk travel, in blocks per task and part."""
+    spark = docs.sparkSession
+    n_parts = max(1, -(-total // part_keys))
 
-def total_counts(scan: DataFrame) -> np.ndarray:
-    """The tasks' counts added up: 2**COUNT_BITS numbers."""
+    def blocks(ids: np.ndarray) -> pa.RecordBatch:
+        ids = np.sort(ids)
+        part = ids >> 24
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        raw = np.ascontiguousarray((ids & 0xFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([raw[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(ids)), strict=True)], pa.binary())], names=["part", "places"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = _Seen(), [], 0
+        for batch in batches:
+            for _, null, values, offsets in _sets(batch):
+                for _, keys, _ in document_keys(values, offsets, seen.fresh(_digests(values, offsets), ~null & (np.diff(offsets) > 0))):
+                    held.append(content_ids(keys, n_parts))
+                    size += len(keys)
+                if size > 1_000_000:
+                    yield blocks(np.concatenate(held))
+                    held, size = [], 0
+        if held:
+            yield blocks(np.concatenate(held))
+        held = []
+        give_back()
+
+    def counted(part: int, raw: list) -> pa.RecordBatch:
+        places = np.zeros((sum(x.as_buffer().size for x in raw) // 3, 4), np.uint8)
+        places[:, :3] = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in raw]).reshape(-1, 3)
+        places = np.sort(places.view("<u4").ravel())
+        at = np.flatnonzero(np.diff(places.astype(np.int64), prepend=-1))
+        count = np.diff(np.append(at, len(places)))
+        ids = part << 24 | places[at[count > over]].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(mixed(ids.astype(np.uint64)).astype(np.int64)), pa.array(count[count > over])], names=["id", "place", "count"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, raw = None, []
         for batch in batches:
-            for slot, raw in zip(batch["slot"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                sums[slot] = sums.get(slot, 0) + np.frombuffer(zlib.decompress(raw), "<u4").astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in sums.values()], pa.binary())], names=["slot", "counts"])
+            for part, places in zip(batch["part"].to_pylist(), batch["places"], strict=True):
+                if part != here and raw:
+                    yield counted(here, raw)
+                    raw = []
+                here = part
+                raw.append(places)
+        if raw:
+            yield counted(here, raw)
+        raw = []
+        give_back()
+
+    keyed = docs.mapInArrow(emit, "part long, places binary")
+    dealt = keyed.repartition(max(partitions(spark), min(n_parts, 10 * partitions(spark))), "part").sortWithinPartitions("part")
+    return stored(dealt.mapInArrow(count, "id long, place long, count long"), "jaccard-heavy"), n_parts
+
 
-    slots = scan.where("kind = 1").select("slot", "counts").repartition(COUNT_SLICES, "slot")
-    out = np.zeros((COUNT_SLICES, (1 << COUNT_BITS) // COUNT_SLICES), np.int64)
-    for row in slots.mapInArrow(run, "slot int, counts binary").collect():
-        out[row["slot"]] = np.frombuffer(row["counts"], "<i8")
-    return out.ravel()
+def heavy_filter(heavy: DataFrame, over: int) -> tuple[int, np.ndarray]:
+    """(bits, words) of the contents that are held by most documents: by more
+    than `over`, or the least double of it that MOST_HEAVY contents exceed."""
+    classes = {r["c"]: r["n"] for r in heavy.groupBy(F.floor(F.log2(F.col("count") / over)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    level = 0
+    while sum(n for c, n in classes.items() if c >= level) > MOST_HEAVY:
+        level += 1
+    return _bits(heavy.where(F.col("count") > over << level), F.col("place"))
 
 
-def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int = PART_KEYS, hot_keys: int = HOT_KEYS) -> DataFrame:
+def buckets(docs: DataFrame, heavy: DataFrame, heavy_parts: int, total_keys: int, part_keys: int = PART_KEYS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Stored (bucket, hot, members): the distinct groups of documents that
     share a join key.  Keys travel in blocks, one per task and part, and are
     grouped by sorting a part of at most about `part_keys` keys."""
     spark = docs.sparkSession
     n_parts = max(1, -(-total_keys // part_keys))
-    shift = max(0, int(counts.max()).bit_length() - 20) if len(counts) else 0
-    rank = spark.sparkContext.broadcast((counts >> shift).astype(np.uint32))
-    hot_from = hot_keys + 4 * int(counts.mean())
-    spread = spark.sparkContext.broadcast({int(i): int(-(-counts[i] // hot_keys)) for i in np.flatnonzero(counts > hot_from)})
+    bits, words = heavy_filter(heavy, min(HEAVY, hot_keys))
+    last = spark.sparkContext.broadcast(words)  # at most BLOOM_BITS bits
+    # a hot key is held by more than hot_keys documents, so there are few
+    spread = spark.sparkContext.broadcast({r["id"]: -(-r["count"] // hot_keys) for r in heavy.where(F.col("count") > hot_keys).collect()})
 
     def blocks(keys, owners, hot):
         part = keys % np.uint64(n_parts)
         if hot.any():
             salt = mixed(owners[hot].astype(np.uint64))
-            width = np.array([spread.value[int(x)] for x in keys[hot] & np.uint64((1 << COUNT_BITS) - 1)], np.uint64)
+            width = np.array([spread.value[int(x)] for x in content_ids(keys[hot], heavy_parts)], np.uint64)
             part[hot] = (part[hot] + salt % width) % np.uint64(n_parts)
         order = np.argsort(part, kind="stable")
         part, keys, owners, hot = part[order], keys[order], owners[order], hot[order]
@@ -231,7 +267,7 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
             names=["part", "keys", "docs", "hot"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order_of, hot_slots, seen = rank.value, np.array(sorted(spread.value), np.int64), _Seen()
+        hot_ids, seen = np.array(sorted(spread.value), np.int64), _Seen()
         held, size = [], 0
         for batch in batches:
             for ids, null, values, offsets in _sets(batch):
@@ -239,12 +275,13 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
                 names = ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
                 n = np.diff(offsets)
                 for docs_, keys, at in document_keys(values, offsets, seen.fresh(_digests(values, offsets), usable)):
-                    slot = (keys & np.uint64(len(order_of) - 1)).astype(np.int64)
-                    place = (order_of[slot].astype(np.uint64) << np.uint64(44)) | (keys >> np.uint64(20))
+                    content = content_ids(keys, heavy_parts)
+                    heavy_ = _bit_set(last.value, bits, mixed(content.astype(np.uint64)))
+                    place = heavy_.astype(np.uint64) << np.uint64(63) | keys >> np.uint64(1)
                     first = [a + (np.argpartition(place[a:b], d)[: d + 1] if b - a > d + 1 else np.arange(b - a))
                              for a, b, d in zip(at[:-1], at[1:], n[docs_] // 3, strict=True)]
                     taken = np.concatenate(first)
-                    held.append((keys[taken], np.repeat(names[docs_], [len(x) for x in first]), np.isin(slot[taken], hot_slots)))
+                    held.append((keys[taken], np.repeat(names[docs_], [len(x) for x in first]), np.isin(content[taken], hot_ids)))
                     size += len(taken)
                 if size > 500_000:
                     yield blocks(*[np.concatenate(x) for x in zip(*held, strict=True)])
@@ -291,13 +328,16 @@ def buckets(docs: DataFrame, counts: np.ndarray, total_keys: int, part_keys: int
 
     keyed = docs.mapInArrow(emit, "part long, keys binary, docs binary, hot binary")
     dealt = keyed.repartition(max(partitions(spark), min(n_parts, 10 * partitions(spark))), "part").sortWithinPartitions("part")
-    return stored(dealt.mapInArrow(group, "bucket long, hot boolean, members array<long>"), "jaccard-buckets")
+    found = dealt.mapInArrow(group, "bucket long, hot boolean, members array<long>")
+    # equal groups of different parts are one; the parts of a hot key all stay
+    found = found.groupBy("hot", "members", F.when(F.col("hot"), F.col("bucket")).alias("own")).agg(F.min("bucket").alias("bucket"))
+    return stored(found.select("bucket", "hot", "members"), "jaccard-buckets")
 
 
 def document_info(scan: DataFrame) -> DataFrame:
     """Stored (doc_id, n, rep, s0..s7): rep is the smallest id of the
     documents with the same set, the document itself where the set is empty."""
-    rows = scan.where("kind = 0").select("doc_id", "n", "d1", "d2", "sketch")
+    rows = scan.select("doc_id", "n", "d1", "d2", "sketch")
     reps = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     words = [F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("long").alias(f"s{i}") for i in range(SKETCH_WORDS)]
     out = rows.join(reps.hint("merge"), ["d1", "d2", "n"], "left")
@@ -336,26 +376,34 @@ def plausible(scan: DataFrame, pairs: DataFrame) -> DataFrame:
                                           *[pc.struct_field(batch[c], "n").to_pylist() for c in ("x", "y")], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    rows = scan.where("kind = 0").select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
+    rows = scan.select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
     return stored(_joined(pairs, rows, "v").mapInArrow(compare, "a long, b long").distinct(), "jaccard-plausible")
 
 
-def _wanted(ids: DataFrame):
-    """(bits, words): a filter of hashed ids, sized to them up to BLOOM_BITS."""
-    bits = min(BLOOM_BITS, 1 << max(10, (16 * ids.count()).bit_length()))
-    place = F.xxhash64("id").bitwiseAND(F.lit(bits - 1))
-    rows = ids.select(place.alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p & 63L AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
+def _bits(rows: DataFrame, place: F.Column) -> tuple[int, np.ndarray]:
+    """(bits, words): a filter of hashes, sized to their number up to BLOOM_BITS."""
+    bits = min(BLOOM_BITS, 1 << max(10, (16 * rows.count()).bit_length()))
+    rows = rows.select(place.bitwiseAND(F.lit(bits - 1)).alias("p"))
+    rows = rows.selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p & 63L AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
     words = np.zeros(bits // 64, np.int64)
     for r in rows.toArrow().to_batches():
         words[r["w"].to_numpy()] = r["b"].to_numpy()
     return bits, words.view(np.uint64)
 
 
-def _may_hold(words: np.ndarray, bits: int, place: pa.Array) -> np.ndarray:
-    at = place.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) & np.uint64(bits - 1)
+def _bit_set(words: np.ndarray, bits: int, place: np.ndarray) -> np.ndarray:
+    at = place & np.uint64(bits - 1)
     return ((words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+def _wanted(ids: DataFrame) -> tuple[int, np.ndarray]:
+    return _bits(ids, F.xxhash64("id"))
+
+
+def _may_hold(words: np.ndarray, bits: int, place: pa.Array) -> np.ndarray:
+    return _bit_set(words, bits, place.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
+
 def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs but the rows whose doc_id is in `gone` (a stored table of ids).  A
     fixed-size filter tells most rows apart where they are; only rows that it
@@ -419,8 +467,9 @@ class JaccardJoin:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         self.scan = scan = scanned(self.docs)
         self.info = document_info(scan)
-        total = self.info.agg(F.sum(F.floor(F.col("n") / 3) + 1)).first()[0] or 0
-        self.buckets = buckets(self.docs, total_counts(scan), int(total), part_keys, hot_keys)
+        chunks, keys = self.info.agg(F.sum("n"), F.sum(F.floor(F.col("n") / 3) + 1)).first()
+        heavy, parts = heavy_contents(self.docs, 2 * int(chunks or 0), 2 * part_keys, min(HEAVY, hot_keys))
+        self.buckets = buckets(self.docs, heavy, parts, int(keys or 0), part_keys, hot_keys)
 
     def _members(self) -> DataFrame:
         """(bucket, hot, rep, n, s0..s7), each representative of a bucket once."""

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerstar.llm.components import connected_components
-from ledgerstar.llm.jaccard_join import JaccardJoin, band_keys, document_keys, folded, op1_query
+from ledgerstar.llm.jaccard_join import JaccardJoin, _candidates, band_keys, document_keys, folded, op1_query
 from ledgerstar.llm.textscan import shingle_sets
 
 EDGES = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one  two three"), (7, "one two\tthree"), (8, "a b c d e"), (8, "a b c d e"),
@@ -100,3 +100,28 @@ def test_connected_components(spark):
             parent[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(parent)}
+
+
+def test_shared_passage_keeps_candidates_in_proportion(spark):
+    """A passage that every document holds is no join key: rows of buckets and
+    candidate pairs grow with the documents, not with their square."""
+    rng = random.Random(8)
+    passage = " ".join(f"licence{i}" for i in range(70))
+
+    def made(n):
+        out = []
+        for i in range(n):
+            own = [f"u{rng.randrange(10**9)}" for _ in range(400)]
+            out.append((2 * i, f"{' '.join(own[:200])} {passage} {' '.join(own[200:])}"))
+            if i % 10 == 0:
+                out.append((2 * i + 1, f"{' '.join(own[:200])} {passage} {' '.join(edited(rng, own[200:], 2))}"))
+        return out
+
+    pairs = {}
+    for n in (200, 800):
+        docs = made(n)
+        join = JaccardJoin(spark.createDataFrame(docs, "doc_id long, text string"))
+        pairs[n] = _candidates(join._members(), None).count()
+        got = {r.doc_id: r.component_id for r in join.components().collect()}
+        assert got == {i: i - i % 2 for i, _ in docs}
+    assert pairs[200] <= 40 and pairs[800] <= 160, pairs
