@@ -10,12 +10,13 @@ product is the smallest angle (the query gets 0 there).
 
 The number of probes is fitted: for `TUNED` queries (a bounded sample, by hash
 of their ids) the exact neighbours are found by brute force over all rows, and
-the fewest probes that catch `goal` of them are taken.  Every row is indexed.
+the fewest probes that catch `goal` of them, by four standard errors more, are
+taken; where no number of probes does, tables are added.  Every row is indexed.
 A query that finds fewer than k rows that way is searched exactly.
 
 Defined results: vectors null, zero, with a null or non-finite component, or of
 another length than most, take no part; rows that repeat a vec_id are each a
-candidate but for rows of the query's own id; fewer than k candidates give
+candidate, once per different vector, but for rows of the query's own id; fewer than k candidates give
 fewer rows; ties go to the smaller vec_id; an empty table gives an empty
 result; other columns are not read.
 """
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .shared import partitions, stored, table
@@ -33,10 +35,10 @@ from .shared import partitions, stored, table
 TABLES = 8
 TUNED = 128
 GOAL = 0.97
-EXACT_BELOW = 4096  # rows up to which every code is probed, in one table
+MOST_TABLES = 64
 QUERY_BLOCK, DATA_BLOCK = 4096, 32768
 CODES = "table int, code long, id long, vec binary"
-BEST = "query_id long, ids binary, scores binary"
+BEST = "query_id long, ids binary, marks binary, scores binary"
 NEAREST = "query_id long, rank int, vec_id long, score double"
 
 
@@ -105,7 +107,7 @@ def inner(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def nearest(query_ids, queries, ids, rows, k: int) -> Iterator[tuple]:
-    """(query number, ids, scores) of each query's k nearest rows but its own
+    """(query number, places, scores) of each query's k nearest rows but its own
     id.  A matrix product finds what can be among them (with a margin for its
     rounding); those are scored again by inner()."""
     rough = queries.astype(np.float64) @ rows.astype(np.float64).T
@@ -121,7 +123,7 @@ def nearest(query_ids, queries, ids, rows, k: int) -> Iterator[tuple]:
         if len(at):
             score = inner(np.broadcast_to(queries[i], (len(at), queries.shape[1])), rows[at])
             order = np.lexsort((ids[at], -score))[:k]
-            yield i, ids[at][order], score[order]
+            yield i, at[order], score[order]
 
 
 def _vectors(column: pa.Array, kind: str, dims: int) -> np.ndarray:
@@ -187,50 +189,60 @@ def _searched(data: DataFrame, queries: DataFrame, dims: int, kind: str, k: int)
                 if cols[a][-1] == 0:
                     held.append((ids, x))
                     continue
+                x, ids, marks = _each_once(x, ids)
                 if len(held) > 1:
                     held = [tuple(np.concatenate(y) for y in zip(*held, strict=True))]
                 for s in range(0, len(held[0][0]) if held else 0, 512):
-                    for i, found, score in nearest(held[0][0][s:s + 512], held[0][1][s:s + 512], ids, x, k):
-                        out.append({"query_id": int(held[0][0][s + i]), "ids": found.astype("<i8").tobytes(), "scores": score.astype("<f8").tobytes()})
+                    for i, at, score in nearest(held[0][0][s:s + 512], held[0][1][s:s + 512], ids, x, k):
+                        out.append({"query_id": int(held[0][0][s + i]), "ids": ids[at].astype("<i8").tobytes(), "marks": marks[at].tobytes(), "scores": score.astype("<f8").tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=BEST_SCHEMA)
 
     return both.mapInArrow(run, BEST)
 
 
-BEST_SCHEMA = pa.schema([("query_id", pa.int64()), ("ids", pa.binary()), ("scores", pa.binary())])
+BEST_SCHEMA = pa.schema([("query_id", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary()), ("scores", pa.binary())])
 NEAREST_SCHEMA = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
+def _each_once(x: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, ids, marks): rows equal in id and vector once; a mark tells rows
+    of one id apart by their vectors."""
+    marks = np.array([xxhash.xxh3_64_intdigest(row.tobytes()) for row in x], "<u8")
+    _, first = np.unique(np.stack([ids.view(np.uint64), marks]), axis=1, return_index=True)
+    first.sort()
+    return x[first], ids[first], marks[first]
+
+
 def _merged(best: DataFrame, k: int) -> DataFrame:
     """The k best of all a query's lists, without the same row found twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def top(ids, scores):
-            ids, scores = np.concatenate(ids), np.concatenate(scores)
-            ids, first = np.unique(ids, return_index=True)
-            order = np.lexsort((ids, -scores[first]))[:k]
-            return ids[order], scores[first][order]
-
-        def rows(q, ids, scores):
-            found, score = top(ids, scores)
+        def top(ids, marks, scores):
+            ids, marks, scores = (np.concatenate(x) for x in (ids, marks, scores))
+            _, first = np.unique(np.stack([ids.view(np.uint64), marks]), axis=1, return_index=True)
+            order = first[np.lexsort((ids[first], -scores[first]))[:k]]
+            return ids[order], marks[order], scores[order]
+
+        def rows(q, held):
+            found, _, score = top(*held)
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), q)), pa.array(np.arange(1, len(found) + 1, dtype=np.int32)), pa.array(found), pa.array(score)], schema=NEAREST_SCHEMA)
 
-        here, ids, scores = None, [], []
+        here, held = None, ([], [], [])
         for batch in batches:
             done = []
-            for q, i, s in zip(batch["query_id"].to_pylist(), batch["ids"].to_pylist(), batch["scores"].to_pylist(), strict=True):
+            for q, *lists in zip(*[batch[c].to_pylist() for c in ("query_id", "ids", "marks", "scores")], strict=True):
                 if q != here:
                     if here is not None:
-                        done.append(rows(here, ids, scores))
-                    here, ids, scores = q, [], []
-                ids.append(np.frombuffer(i, "<i8"))
-                scores.append(np.frombuffer(s, "<f8"))
-                if len(ids) > 1000:
-                    ids, scores = ([x] for x in top(ids, scores))
+                        done.append(rows(here, held))
+                    here, held = q, ([], [], [])
+                for own, raw, kind in zip(held, lists, ("<i8", "<u8", "<f8"), strict=True):
+                    own.append(np.frombuffer(raw, kind))
+                if len(held[0]) > 1000:
+                    held = tuple([x] for x in top(*held))
             if done:
                 yield from pa.Table.from_batches(done).combine_chunks().to_batches()
         if here is not None:
-            yield rows(here, ids, scores)
+            yield rows(here, held)
 
     return best.repartition(partitions(best.sparkSession), "query_id").sortWithinPartitions("query_id").mapInArrow(run, NEAREST)
 
@@ -260,15 +272,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     uneven = norms.most if norms.least < norms.most * (1 - 1e-6) else 0.0
 
     packed = lambda df: _packed(df, kind, dims)
-    if n <= EXACT_BELOW:
-        index = CrossPolytope(dims, 1, 1, uneven)
-        best = _searched(_coded(valid, index, kind), _coded(asked, index, kind, index.codes), dims, kind, k)
-        return _merged(best, k)
     # deeper codes as rows grow: about a thousand rows a code
     width = CrossPolytope(dims, 1, 1, uneven).width
-    depth = max(1, int(np.floor(np.log(n / 1000) / np.log(2 * width))))
-    index = CrossPolytope(dims, tables, depth, uneven)
-    probes = _fitted(valid, asked, index, kind, k, goal, tuned)
+    depth = max(1, int(np.floor(np.log(max(n, 2) / 1000) / np.log(2 * width))))
+    index, probes = _fitted(valid, asked, lambda t: CrossPolytope(dims, t, depth, uneven), tables, kind, k, goal, tuned)
     best = _searched(_coded(valid, index, kind), _coded(asked, index, kind, probes), dims, kind, k)
     found = stored(_merged(best, k), "nearest")
     enough = found.groupBy("query_id").agg(F.max("rank").alias("n")).where(F.col("n") >= min(k, n - 1))
@@ -288,12 +295,15 @@ def _packed(df: DataFrame, kind: str, dims: int) -> DataFrame:
     return df.mapInArrow(run, "id long, vec binary")
 
 
-def _fitted(valid: DataFrame, asked: DataFrame, index: CrossPolytope, kind: str, k: int, goal: float, tuned: int) -> int:
-    """The fewest probes that catch `goal` of the exact neighbours of `tuned`
-    queries; those queries and neighbours are all that reaches the driver."""
+def _fitted(valid: DataFrame, asked: DataFrame, index_of, tables: int, kind: str, k: int, goal: float, tuned: int) -> tuple[CrossPolytope, int]:
+    """(index, probes): the fewest probes that catch `goal` of the exact
+    neighbours of `tuned` queries, by four standard errors more; with more
+    tables where that takes too many.  Those queries and neighbours are all that
+    reaches the driver.  A goal that MOST_TABLES cannot reach is an error."""
+    index = index_of(tables)
     sample = asked.orderBy(F.xxhash64("id"), "id").limit(tuned).collect()
     if not sample:
-        return 1
+        return index, 1
     q = np.array([r["vec"] for r in sample], kind)
     q_ids = np.array([r["id"] for r in sample])
     dims = index.dims
@@ -303,19 +313,27 @@ def _fitted(valid: DataFrame, asked: DataFrame, index: CrossPolytope, kind: str,
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
                 x, ids = _vectors(part["vec"], kind, dims), part["id"].to_numpy()
-                out = [(i, int(v), float(s)) for i, found, score in nearest(q_ids, q, ids, x, k) for v, s in zip(found, score, strict=True)]
+                out = [(i, int(ids[v]), float(s)) for i, at, score in nearest(q_ids, q, ids, x, k) for v, s in zip(at, score, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.float64()))], names=["q", "id", "score"])
 
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
     true = valid.mapInArrow(run, "q int, id long, score double").withColumn("_r", rank).where(F.col("_r") <= k)
     true = true.join(valid.hint("merge"), "id").select("q", "vec").collect()  # at most tuned * k rows but for repeated ids
     x, of = np.array([r["vec"] for r in true], kind), np.array([r["q"] for r in true], np.int64)
-    most = min(index.codes, 4096)
-    first = np.full(len(x), most)
-    for t in range(index.tables):
-        hit = index.probes(q, t, most)[of] == index.hashed(x, t)[:, None]
-        first = np.minimum(first, np.where(hit.any(axis=1), hit.argmax(axis=1), most))
-    return int(min(most, np.sort(first)[min(len(first) - 1, int(np.ceil(goal * len(first))))] + 1))
+    missed = (1 - goal) * len(x)
+    allowed = max(0, int(missed - 4 * np.sqrt(missed)))
+    while True:
+        most = min(index.codes, 4096)
+        first = np.full(len(x), most)
+        for t in range(index.tables):
+            hit = index.probes(q, t, most)[of] == index.hashed(x, t)[:, None]
+            first = np.minimum(first, np.where(hit.any(axis=1), hit.argmax(axis=1), most))
+        needed = int(np.sort(first)[len(first) - 1 - allowed]) if len(first) else 0
+        if needed < most:
+            return index, needed + 1
+        if 2 * index.tables > MOST_TABLES:
+            raise RuntimeError(f"{index.tables} tables of {index.codes} codes do not catch {goal:.0%} of the tuned queries' neighbours")
+        index = index_of(2 * index.tables)
 
 
 def op5_query(spark: SparkSession, sf_dir: str) -> DataFrame:

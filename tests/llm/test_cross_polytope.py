@@ -79,7 +79,6 @@ def test_edges(spark):
 def test_hot_code_is_split_and_ties_go_to_the_smaller_id(spark, monkeypatch):
     monkeypatch.setattr(cp, "DATA_BLOCK", 50)
     monkeypatch.setattr(cp, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(cp, "EXACT_BELOW", 100)
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(400)] + [(400 + i, rng.standard_normal(3).tolist()) for i in range(300)]
     got = by_query(cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).collect())
@@ -87,3 +86,30 @@ def test_hot_code_is_split_and_ties_go_to_the_smaller_id(spark, monkeypatch):
     for q in range(0, 400, 20):
         want = exact(rows, lambda i: i == q, 5)[q]
         assert [r.vec_id for r in got[q]] == want
+
+
+def test_rows_of_one_id_with_different_vectors_are_each_a_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (2, [0.1, 0.0]), (2, [0.9, 0.0]), (2, [0.9, 0.0]), (3, [0.5, 0.0])] + [(7, [0.7, 0.1])] * 30
+    got = cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=4).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(1, 2, 0.9), (2, 7, 0.7), (3, 3, 0.5), (4, 2, 0.1)]
+
+
+@pytest.mark.parametrize("n", [500, 5000])
+def test_recall_has_one_path_at_every_size(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = by_query(cp.search(df, F.col("vec_id") % 20 == 0).collect())
+    scores = x[::20] @ x.T
+    scores[np.arange(len(scores)), np.arange(0, n, 20)] = -np.inf
+    hit = sum(len(set(np.argsort(-scores[i])[:20]) & {r.vec_id for r in got[20 * i]}) for i in range(len(scores)))
+    assert hit / (20 * len(scores)) >= 0.95
+
+
+def test_goal_out_of_reach_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(cp, "MOST_TABLES", 1)
+    monkeypatch.setattr(cp.CrossPolytope, "hashed", lambda self, x, t: np.full(len(x), -1))
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0, 2.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="do not catch"):
+        cp.search(df, F.col("vec_id") % 20 == 0, tables=1).collect()
