@@ -30,7 +30,7 @@ def _whole(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learn = docs.select("doc_id", "text", "lang").where(~ecoc_langid.in_fold("doc_id", 4, ecoc_langid.HELD_OUT))
     out = ecoc_langid.scored(_whole(docs), ecoc_langid.trained(learn))
-    return out.where(F.col("lang_pred") != ecoc_langid.UNKNOWN).select("_row.*")
+    return out.where("lang_fits").select("_row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

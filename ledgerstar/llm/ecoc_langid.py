@@ -5,18 +5,18 @@ over hashed byte n-gram frequencies of the whole text, predicts it.  Decoding
 takes the language whose codeword has the least weighted logistic loss; a bit's
 weight for a language is how well its classifier does on that language.  A
 document whose two best languages are close is flagged as ambiguous.  One that
-fits no codeword is `und`: its least loss lies beyond a bound learned from the
-losses of labelled rows under classifiers fitted without them.  The bound is
-loose, and texts under `SHORT` characters say too little to be refused.
+fits no codeword (its least loss lies beyond a bound learned from the losses of
+labelled rows under classifiers fitted without them) keeps its nearest language,
+and `lang_fits` is false.  The bound is loose, and wider for texts of few n-grams.
 
 The classifiers are fitted on a bounded sample of labelled rows, chosen by hash
 of the id: `per_language` rows of every language, or with many languages an
 equal part of `FIT_ROWS` each, `LEAST_ROWS` at least.  No language is left out;
 everything else covers all rows.
 
-Defined results: a null text or one without a letter, or beyond the bound, is
-`und` with score 0; a null lang is no label; with no labelled row every document
-is `und`; with labels too few for a bound no document is refused; with one
+Defined results: a null text or one without a letter is `und` with score 0 and
+fits nothing; a null lang is no label; with no labelled row every document
+is `und` and texts with letters fit; with labels too few for a bound all fit; with one
 language every document with a letter gets it, score 1; ties go to the first
 language; repeated rows are scored alike; an empty table gives an empty result;
 other columns are kept in scored() unless they have a name that it adds.
@@ -39,7 +39,7 @@ FEATURES = 2048
 PER_LANGUAGE = 1200
 FIT_ROWS, LEAST_ROWS = 24_000, 20
 UNKNOWN = "und"
-SHORT = 20
+SHORT = 20  # bytes of text for which the bound is twice as wide
 USUAL, SLACK = 0.999, 1.1  # the bound: this quantile of the labelled rows' losses times the slack,
 LEAST_BOUND = np.log(2) / 2  # and no less than half the loss of bits that say nothing
 MARGIN = 0.2  # ambiguous: the best language's share is below that of the next plus this
@@ -136,7 +136,7 @@ class LanguageModel:
         return self.decided(x)[:3]
 
     def decided(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """decode() and whether the best language's loss is within the bound."""
+        """decode() and the best language's loss."""
         loss = self.losses(x)
         least = loss.min(axis=1, keepdims=True)
         share = np.exp(least - loss)
@@ -145,7 +145,7 @@ class LanguageModel:
         rows = np.arange(len(share))
         top = share[rows, best]
         share[rows, best] = -1
-        return best, top, np.maximum(share.max(axis=1), 0), least[:, 0] <= self.bound
+        return best, top, np.maximum(share.max(axis=1), 0), least[:, 0]
 
 
 def fitted(languages: list[str], x: np.ndarray, y: np.ndarray) -> LanguageModel:
@@ -212,26 +212,30 @@ def trained(labelled: DataFrame, id_col: str = "doc_id", per_language: int = PER
 
 
 def scored(docs: DataFrame, model: LanguageModel | None, text: str = "text", margin: float = MARGIN) -> DataFrame:
-    """docs plus lang_pred, lang_score (0 to 1) and ambiguous."""
-    kept = without(docs, "lang_pred", "lang_score", "ambiguous")
+    """docs plus lang_pred, lang_score (0 to 1), ambiguous and lang_fits (whether
+    some codeword fits the text; the bound is wider for texts of few n-grams,
+    which say less).  Texts without letters fit none; without a model all do."""
+    kept = without(docs, "lang_pred", "lang_score", "ambiguous", "lang_fits")
+    letter = F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False))
     if model is None:
-        return kept.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("lang_score", F.lit(0.0)).withColumn("ambiguous", F.lit(True))
+        return kept.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("lang_score", F.lit(0.0)).withColumn("ambiguous", F.lit(True)).withColumn("lang_fits", letter)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x bits and FEATURES x bits numbers
 
-    @F.arrow_udf("lang_pred string, lang_score double, ambiguous boolean")
+    @F.arrow_udf("lang_pred string, lang_score double, ambiguous boolean, lang_fits boolean")
     def predict(texts: pa.Array) -> pa.Array:
         m = sent.value
         parts = [m.decided(ngram_features(texts.slice(a, b - a))) for a, b in slices(texts, rows=256)]
         give_back()
-        best, top, second, fits = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, bool))
-        fits |= pc.utf8_length(texts).to_numpy(zero_copy_only=False) < SHORT
-        return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in best], pa.string()), pa.array(top), pa.array(top < second + margin)],
-                                          names=["lang_pred", "lang_score", "ambiguous"], mask=pa.array(~fits))
+        best, top, second, least = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), *[np.zeros(0)] * 3)
+        grams = np.maximum(pc.binary_length(texts).to_numpy(zero_copy_only=False), 1)
+        fits = least <= m.bound * (1 + (SHORT / grams) ** 2)
+        return pa.StructArray.from_arrays([pa.array([m.languages[i] for i in best], pa.string()), pa.array(top), pa.array(top < second + margin), pa.array(fits)],
+                                          names=["lang_pred", "lang_score", "ambiguous", "lang_fits"])
 
-    letter = F.coalesce(F.regexp_like(F.col(text), F.lit(r"\p{L}")), F.lit(False))
     out = kept.withColumn("_lang", F.when(letter, predict(F.coalesce(F.col(text), F.lit("")))))
     return out.withColumn("lang_pred", F.coalesce(F.col("_lang.lang_pred"), F.lit(UNKNOWN))).withColumn(
-        "lang_score", F.coalesce(F.col("_lang.lang_score"), F.lit(0.0))).withColumn("ambiguous", F.coalesce(F.col("_lang.ambiguous"), F.lit(True))).drop("_lang")
+        "lang_score", F.coalesce(F.col("_lang.lang_score"), F.lit(0.0))).withColumn("ambiguous", F.coalesce(F.col("_lang.ambiguous"), F.lit(True))).withColumn(
+        "lang_fits", F.coalesce(F.col("_lang.lang_fits"), F.lit(False))).drop("_lang")
 
 
 def op4_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,3 +179,38 @@ def test_quality_fit_takes_whole_documents(spark, documents, monkeypatch):
     order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
     some = [i for k, i in enumerate(order) if sum(order[:k]) < 300]
     assert seen == [list(range(1, 101)), sorted(some)] and 1 < len(some) < 100
+
+
+def test_text_with_letters_always_has_a_learned_language(spark, documents, sf):
+    model = lang.trained(spark.read.parquet(f"{sf}/documents.parquet"))
+    strange = ["日本語の文章です。これは学習されていません。" * 5, "for(;;){if(x0!=_n)f(x,_n);}" * 9, "Привет мир " * 20, "ab", "é", "qzxjvk wvqxzj kqzjxw " * 30]
+    got = lang.scored(documents([(i, t) for i, t in enumerate(strange)] + [(99, "12 !"), (98, None)]), model).collect()
+    for r in got:
+        assert (r.lang_pred == "und") == (r.doc_id > 90) and (r.doc_id < 90 or not r.lang_fits)
+        assert r.lang_pred in [*model.languages, "und"] and 0 <= r.lang_score <= 1
+    assert sum(not r.lang_fits for r in got if r.doc_id in (0, 2)) > 0
+
+
+def test_scores_equal_plain_loops(spark, documents, sf):
+    """Features, losses and shares of some texts, gram by gram and bit by bit."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = lang.trained(docs)
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").limit(12).collect()] + [(10**6, "Ünïcode, x; y! Zz")]
+    got = {r.doc_id: r for r in lang.scored(documents(rows), model).collect()}
+    for i, text in rows:
+        raw = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in text.lower().encode())
+        raw = b" " + b" ".join(x for x in raw.split(b" ") if x) + b" "
+        counts = [0] * lang.FEATURES
+        for k in (2, 3, 4):
+            for s in range(len(raw) - k + 1):
+                code = 0
+                for b in raw[s:s + k]:
+                    code = (code * 257 + b) & 0xFFFFFFFF
+                spread = (code + k) * 0x9E3779B1 & 0xFFFFFFFF
+                counts[(spread ^ spread >> 15) & (lang.FEATURES - 1)] += 1
+        size = sum(counts) ** 0.5
+        margins = [sum((c ** 0.5 / size) * model.w[f, j] for f, c in enumerate(counts) if c) + model.b[j] for j in range(model.code.shape[1])]
+        losses = [sum(model.trust[n, j] * np.logaddexp(0, -int(model.code[n, j]) * m) for j, m in enumerate(margins)) for n in range(len(model.languages))]
+        share = np.exp(min(losses) - np.array(losses))
+        assert got[i].lang_pred == model.languages[int(np.argmin(losses))]
+        assert abs(got[i].lang_score - share.max() / share.sum()) < 1e-3
