@@ -32,7 +32,8 @@ from .textscan import give_back, slices
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 1024
-CACHED_WORDS = 400_000
+CACHED_WORDS, CACHED_BYTES = 400_000, 24 << 20
+MARKS = 4  # numbers of words that are always known
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
@@ -45,11 +46,12 @@ def default_tokenizer() -> str:
 class WordTokenizer:
     """Ids of texts for a tokenizer whose ids never span white space.
 
-    Texts are split at ASCII white space, each distinct word is encoded once
-    and kept (all words are forgotten when there are CACHED_WORDS of them), and
-    the ids of a slice of texts are gathered in numpy.  A word is looked up
-    without its capitals, which the tokenizer drops, and without a full stop or
-    comma after a letter, which is always an id of its own.
+    Texts are split at ASCII white space, each distinct word is encoded once and
+    kept, and the ids of a slice of texts are gathered in numpy.  When there are
+    CACHED_WORDS words or CACHED_BYTES of them, those met in one slice only are
+    forgotten (all, if too many are left).  A word is looked up without its
+    capitals, which the tokenizer drops, and without a full stop or comma after
+    a letter that stays one in lower case, which is always an id of its own.
     """
 
     def __init__(self, path: str):
@@ -60,7 +62,8 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())  # word i has number MARKS + i
+        self.seen = np.zeros(0, np.int32)  # slices that held the word, lately
         # numbers 0 to 3: the end id, nothing, a full stop, a comma
         marks = [e.ids for e in self.tokenizer.encode_batch_fast([".", ","], add_special_tokens=False)]
         self._lengths, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -71,26 +74,50 @@ class WordTokenizer:
         self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(ids), np.int32)])
         self._starts = np.cumsum(self._lengths) - self._lengths
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, range(len(self._lengths), len(self._lengths) + len(new)), strict=True))
-        self._keep([e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+    def _full(self, share: float = 1.0) -> bool:
+        return len(self.known) > share * CACHED_WORDS or self.known.nbytes > share * CACHED_BYTES
+
+    def _thin_out(self) -> None:
+        kept = np.flatnonzero(self.seen > 1)
+        self.known, self.seen = self.known.take(pa.array(kept)), self.seen[kept] // 2
+        if self._full(0.5):
+            self.forget()
+            return
+        numbers = np.concatenate([np.arange(MARKS), kept + MARKS])
+        lengths = self._lengths[numbers]
+        ends = np.cumsum(lengths)
+        self._ids = self._ids[np.repeat(self._starts[numbers] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
+        self._lengths, self._starts = lengths, ends - lengths
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers of different words."""
+        found = pc.index_in(words, value_set=self.known)
+        new, at = found.is_null().to_numpy(zero_copy_only=False), np.array(found.fill_null(0), np.int64)
+        if new.any():
+            more = words.filter(pa.array(new))
+            at[new] = len(self.known) + np.arange(len(more))
+            self.known, self.seen = pa.concat_arrays([self.known, more]), np.concatenate([self.seen, np.zeros(len(more), np.int32)])
+            more = more.to_pylist()
+            for i in range(0, len(more), 10_000):
+                self._keep([e.ids for e in self.tokenizer.encode_batch_fast(more[i: i + 10_000], add_special_tokens=False)])
+        self.seen[at] += 1
+        return at + MARKS
 
     def _word_numbers(self, words: pa.Array) -> np.ndarray:
         """Two numbers a word: of its bare form and of the mark after it."""
-        marked = pc.match_substring_regex(words, r"\pL[.,]$")
+        # the one letter whose lower case ends in a mark, which the tokenizer joins with what follows, is left whole
+        marked = pc.match_substring_regex(words, r"[^\PL\x{130}][.,]$")
         comma = pc.ends_with(words, ",")
         bare = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
         bare = pc.if_else(pc.match_substring(bare, "<|"), bare, pc.ascii_lower(bare)).dictionary_encode()
-        numbers = self._numbers(bare.dictionary.to_pylist())[bare.indices.to_numpy()]
+        numbers = self._numbers(bare.dictionary)[bare.indices.to_numpy()]
         marks = np.where(marked.to_numpy(zero_copy_only=False), 2 + comma.to_numpy(zero_copy_only=False), 1)
         return np.stack([numbers, marks], axis=1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, each ended by END_ID."""
-        if len(self.known) > CACHED_WORDS:
-            self.forget()
+        if self._full():
+            self._thin_out()
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         at = split.offsets.to_numpy() - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
@@ -237,7 +264,6 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
                 yield rows()
         packer.cut_open(last=True)
         yield rows()
-        words.forget()  # the next task of this worker may be of another kind
         give_back()
 
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, PIECES)

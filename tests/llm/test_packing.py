@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from ledgerstar.llm import sos_packing
 from ledgerstar.llm.sos_packing import Packer, WordTokenizer, default_tokenizer, op6_query, packed
 
 WORDS = WordTokenizer(default_tokenizer())
@@ -88,3 +90,17 @@ def test_level_is_the_one_of_least_squares():
         assert (packer.levels == [len(x) for x in packer.open]).all()
     packer.cut_open(last=True)
     assert sum(len(p[2]) for p in packer.done) == sum(d[1] for d in {p[0] for p in packer.done})
+
+
+def test_letters_whose_lower_case_expands_and_forgotten_words(monkeypatch):
+    """Random texts, the dotted capital I before marks among them, with a word
+    table that is thinned out again and again."""
+    monkeypatch.setattr(sos_packing, "CACHED_WORDS", 40)
+    own, rng = WordTokenizer(default_tokenizer()), random.Random(3)
+    parts = ["İ", "i", "İ.", "İ,", "I.", "ı.", "ẞ,", "Σ.", "ǅ.", "a", "B", ".", ",", " ", " ", "\n", "é.", "e\u0301.", "日.", "9.", "_.", "İİ.,", "xİ. y"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 9)))
+        ids, at = own.encode(pa.array([text, "the cat sat."]))
+        assert list(ids[: at[1]]) == whole(text), text
+        assert list(ids[at[1]:]) == whole("the cat sat.")
+    assert len(own.known) < 200
