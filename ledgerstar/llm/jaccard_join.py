@@ -376,7 +376,15 @@ def plausible(scan: DataFrame, pairs: DataFrame) -> DataFrame:
                                           *[pc.struct_field(batch[c], "n").to_pylist() for c in ("x", "y")], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    rows = scan.select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
+    # a fixed-size filter keeps the sketches of documents in no pair where they are
+    bits, words = _wanted(stored(_ends(pairs), "jaccard-met"))
+    sent = scan.sparkSession.sparkContext.broadcast(words)  # at most BLOOM_BITS bits
+
+    @F.arrow_udf("boolean")
+    def in_a_pair(place: pa.Array) -> pa.Array:
+        return pa.array(_may_hold(sent.value, bits, place))
+
+    rows = scan.where(in_a_pair(F.xxhash64("doc_id"))).select(F.col("doc_id").alias("id"), F.struct(F.col("n"), F.col("wide").alias("s")).alias("v"))
     return stored(_joined(pairs, rows, "v").mapInArrow(compare, "a long, b long").distinct(), "jaccard-plausible")
 
 
