@@ -15,7 +15,8 @@ table never deletes its files.
 
 from __future__ import annotations
 
-from ledgerstar.plans.stages import ROUTED, LayerStore
+from ledgerstar.plans.stages import ROUTED, LayerStore, declared_schema
+from ledgerstar.schemas import EXECUTION_LOG_SCHEMA
 
 TABLE_COMMENTS = {
     ("raw", "sales_daily"): "Lines of the daily file as they were read, all cells as text.",
@@ -34,12 +35,19 @@ TABLE_COMMENTS = {
 }
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_tables(store: LayerStore) -> list[str]:
     """(Re)register every published table; returns the qualified names."""
     spark = store.spark
     names = []
+    run = store.snapshot() if store.published_version("mart") else {}
     for (layer, table), comment in TABLE_COMMENTS.items():
-        version = store.published_version(layer, table if layer == "raw" else None)
+        # what the newest mart was made from; where there is no mart, the newest
+        pinned = run.get("raw", {}).get(table) if layer == "raw" else run.get(layer)
+        version = pinned or store.published_version(layer, table if layer == "raw" else None)
         if version is None:
             continue
         spark.sql(
@@ -55,17 +63,20 @@ def register_tables(store: LayerStore) -> list[str]:
             # that keeps the route (partition pruning reads only its folder)
             dataset, route, columns = ROUTED[(layer, table)]
             path = store.dataset_path(layer, dataset, version)
+            about = {f.name: f.metadata["comment"] for f in declared_schema(layer, table).fields if "comment" in f.metadata}
+            named = ", ".join(f"{c} COMMENT {_quoted(about[c])}" if c in about else c for c in columns)
             spark.sql(
-                f"CREATE VIEW {name} COMMENT '{comment.replace(chr(39), chr(39) * 2)}' AS "
+                f"CREATE VIEW {name} ({named}) COMMENT {_quoted(comment)} AS "
                 f"SELECT {', '.join(columns)} FROM parquet.`{path}` WHERE route = '{route}'"
             )
         else:
             spark.catalog.createTable(
-                name, path=store.table_path(layer, table, version), source="parquet", description=comment
+                name, path=store.table_path(layer, table, version), source="parquet", description=comment,
+                schema=store.read(layer, table, version).schema,
             )
         names.append(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS audit COMMENT 'execution log' LOCATION '{store.root}/_catalog/audit.db'")
     spark.sql("DROP TABLE IF EXISTS audit.etl_execution_log")
     spark.catalog.createTable("audit.etl_execution_log", path=store.log_path, source="parquet",
-                              description="One row per attempt of a task.")
+                              description="One row per attempt of a task.", schema=EXECUTION_LOG_SCHEMA, recursiveFileLookup="true")
     return [*names, "audit.etl_execution_log"]

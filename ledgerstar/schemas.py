@@ -58,34 +58,6 @@ RAW_COLUMNS = [
 # src_rank + load_order together give the load order used by first-wins rules.
 ORDER_COLUMNS = ["src_rank", "load_order"]
 
-STAGING_COLUMNS = [
-    "invoice_no", "stock_code", "description", "quantity", "unit_price",
-    "invoice_date", "customer_id", "country", "source_file", "dedup_key",
-]
-INTERMEDIATE_COLUMNS = [
-    "invoice_no", "stock_code", "canonical_description", "category", "quantity",
-    "unit_price", "invoice_date", "customer_id", "country", "is_return",
-    "line_revenue", "source_file",
-]
-DIM_DATE_COLUMNS = ["date_day", "year", "quarter", "month", "month_name", "day", "day_of_week", "is_weekend"]
-DIM_CUSTOMER_COLUMNS = ["customer_id", "is_identified"]
-DIM_COUNTRY_COLUMNS = ["country"]
-DIM_PRODUCT_COLUMNS = ["stock_code", "canonical_description", "category"]
-SALES_COLUMNS = [
-    "invoice_no", "stock_code", "customer_id", "country", "sale_date",
-    "invoice_ts", "quantity", "unit_price", "gross_revenue",
-]
-RETURNS_COLUMNS = [
-    "invoice_no", "stock_code", "customer_id", "country", "sale_date",
-    "invoice_ts", "quantity", "unit_price", "return_amount",
-]
-DAILY_REVENUE_COLUMNS = ["stock_code", "sale_date", "gross_revenue", "returns_amount", "net_revenue"]
-REJECT_COLUMNS = ["stage", "source_file", "raw_data", "reason"]
-EXECUTION_LOG_COLUMNS = [
-    "dag_id", "run_id", "task_id", "execution_date", "status",
-    "rows_processed", "started_at", "ended_at",
-]
-
 PRICE_TYPE = T.DecimalType(12, 4)
 AMOUNT_TYPE = T.DecimalType(14, 4)
 # Sums over many lines are reported at full width so they never overflow.
@@ -199,6 +171,17 @@ EXECUTION_LOG_SCHEMA = T.StructType([
     _f("ended_at", T.TimestampType()),
 ])
 
+# Column names in declared order.
+STAGING_COLUMNS, INTERMEDIATE_COLUMNS, REJECT_COLUMNS, EXECUTION_LOG_COLUMNS = (
+    schema.names for schema in (STAGING_SCHEMA, INTERMEDIATE_SCHEMA, REJECT_SCHEMA, EXECUTION_LOG_SCHEMA)
+)
+DIM_DATE_COLUMNS, DIM_CUSTOMER_COLUMNS, DIM_COUNTRY_COLUMNS, DIM_PRODUCT_COLUMNS = (
+    schema.names for schema in (DIM_DATE_SCHEMA, DIM_CUSTOMER_SCHEMA, DIM_COUNTRY_SCHEMA, DIM_PRODUCT_SCHEMA)
+)
+SALES_COLUMNS, RETURNS_COLUMNS, DAILY_REVENUE_COLUMNS = (
+    schema.names for schema in (FACT_SALES_SCHEMA, FACT_RETURNS_SCHEMA, FACT_DAILY_SCHEMA)
+)
+
 # Primary keys (natural keys) used by the uniqueness checks.
 PRIMARY_KEYS = {
     "dim_date": ["date_day"],

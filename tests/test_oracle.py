@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_compare import compare
 
 from ledgerstar.plans.catalog import registry

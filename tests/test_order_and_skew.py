@@ -3,7 +3,7 @@ key holding a third of the rows must still give the exact first-wins row."""
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import line, raw_frame
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
