@@ -1,8 +1,8 @@
 """File readers for the two feeds: every column read as text, never inferred.
 
 * Daily feed: one delimited text file (or a directory of them) with a header,
-  ISO-8859-1 by default.  Columns come from the header as strings; type
-  inference is off, so nothing is re-typed behind our back.
+  ISO-8859-1 by default.  Columns come from each file's own header as strings;
+  type inference is off, so nothing is re-typed behind our back.
 * Historical feed: a workbook of several sheets, supplied as one file or
   directory per sheet (CSV or Parquet), read in sheet order and tagged
   `<book>:<sheet>`.  Binary spreadsheet decoding is out of scope.
@@ -15,6 +15,11 @@ the struct is stable however the files are split across tasks.
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,29 +38,76 @@ from ledgerstar.schemas import (
 WHOLE_LINE = "_whole_line"
 
 
-def _read_text_csv(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
-    """Header CSV with every column as text; type inference is off.
-
-    The names come from one file's header; every file of a folder must have the
-    same header (another one fails the read instead of shifting cells).  A line
-    with too many or too few cells keeps its whole text in WHOLE_LINE, and
-    staging rejects it with that text.  Empty cells and the other missing-value
-    tokens become NULL in `_to_raw`."""
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-    )
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, WHOLE_LINE]])
-    return (
-        reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", WHOLE_LINE)
-        .option("columnPruning", False).schema(schema).csv(path)
-    )
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a path (a file, a folder or a pattern), by name."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(hadoop_path) or []:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [s.getPath().toString() for s in inside if s.isFile() and s.getPath().getName()[0] not in "._"]
+    if not found:
+        raise FileNotFoundError(f"no files at {path}")
+    return sorted(found)
+
+
+def _header(spark: SparkSession, path: str, encoding: str) -> tuple[str, ...]:
+    """The names in a file's first line, read alone; none for an empty file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(hadoop_path)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ())) if line else ()
+
+
+def header_groups(spark: SparkSession, path: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header.  One short read per file, many at a
+    time; no data line is looked at."""
+    files = _files(spark, path)
+    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f, encoding), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers, strict=True):
+        groups.setdefault(names, []).append(file)
+    if len(groups) > 1:
+        groups.pop((), None)  # empty files beside others have nothing to read
+    return groups
+
+
+def _read_text_csv(spark: SparkSession, path: str, encoding: str, multi_line: bool,
+                   wanted: Iterable[str]) -> list[DataFrame]:
+    """Header CSV with every column as text, one frame per header; type inference
+    is off.
+
+    Files are grouped by their header row and each group is read with its own
+    names (and checked against them), so files of a folder may order their
+    columns differently or have columns of their own.  A header without one of
+    the wanted columns is an error that names the file.  A line with too many or
+    too few cells keeps its whole text in WHOLE_LINE, and staging rejects it with
+    that text.  Empty cells and the other missing-value tokens become NULL in
+    `_to_raw`."""
+    frames = []
+    for names, files in header_groups(spark, path, encoding).items():
+        missing = [c for c in wanted if names.count(c) != 1]
+        if missing:
+            raise ValueError(f"the header of {files[0]} ({len(files)} files have it) does not name {', '.join(missing)} once")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, WHOLE_LINE]])
+        frames.append(
+            spark.read.option("header", True)
+            .option("inferSchema", False)
+            .option("encoding", encoding)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE")
+            .option("enforceSchema", False).option("columnNameOfCorruptRecord", WHOLE_LINE)
+            .option("columnPruning", False).schema(schema).csv(files)
+        )
+    return frames
 
 
 def _load_order(sheet_index: int, position: Column) -> Column:
@@ -95,9 +147,9 @@ def read_daily_csv(
     na_tokens: bool = True,
 ) -> DataFrame:
     """raw.sales_daily from a header CSV; missing-value tokens become NULL."""
-    df = _read_text_csv(spark, path, encoding, multi_line)
-    return _to_raw(df, column_map, F.lit(source_file), RANK_DAILY, 0,
-                   F.monotonically_increasing_id(), na_tokens)
+    frames = _read_text_csv(spark, path, encoding, multi_line, column_map)
+    return reduce(DataFrame.unionByName, [
+        _to_raw(df, column_map, F.lit(source_file), RANK_DAILY, 0, F.monotonically_increasing_id(), na_tokens) for df in frames])
 
 
 def read_sheets(
@@ -118,15 +170,16 @@ def read_sheets(
     out = None
     for i, (sheet, path) in enumerate(sheets):
         if fmt == "csv":
-            df = _read_text_csv(spark, path, encoding, multi_line)
+            frames = _read_text_csv(spark, path, encoding, multi_line, column_map)
             pos = F.monotonically_increasing_id()
         elif fmt == "parquet":
-            df = spark.read.parquet(path)
+            frames = [spark.read.parquet(path)]
             pos = F.col("_metadata.row_index")
         else:
             raise ValueError(f"unsupported sheet format {fmt!r}")
-        raw = _to_raw(df, column_map, F.lit(f"{book}:{sheet}"), RANK_HISTORICAL, i, pos, na_tokens)
-        out = raw if out is None else out.unionByName(raw)
+        for df in frames:
+            raw = _to_raw(df, column_map, F.lit(f"{book}:{sheet}"), RANK_HISTORICAL, i, pos, na_tokens)
+            out = raw if out is None else out.unionByName(raw)
     if out is None:
         raise ValueError("no sheets given")
     return out

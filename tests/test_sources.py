@@ -110,16 +110,29 @@ def test_command_line_run(spark, scratch):
     assert spark.sql("SELECT count(*) FROM mart.dim_product").first()[0] == 3
 
 
-def test_folder_with_another_header_fails(spark, scratch):
+def test_files_of_a_folder_may_order_their_columns_differently(spark, scratch):
     import pytest
 
     folder = os.path.join(scratch, "daily")
     os.mkdir(folder)
     _write(os.path.join(folder, "a.csv"), DAILY, "ISO-8859-1")
-    _write(os.path.join(folder, "b.csv"), "StockCode,InvoiceNo,Description,UnitPrice,InvoiceDate,Quantity,CustomerID,Country\n"
-           "B,7,X,3,12/1/2010 8:26,9.5,1,UK\n", "ISO-8859-1")
-    with pytest.raises(Exception, match="header"):
-        read_daily_csv(spark, folder).collect()
+    _write(os.path.join(folder, "b.csv"), "StockCode,InvoiceNo,Description,UnitPrice,InvoiceDate,Quantity,CustomerID,Note,Country\n"
+           "B,7,CAFÉ \"\"X\"\",3,12/1/2010 8:26,9,1,n,UK\nB,8,X,3,12/1/2010 8:26\n", "ISO-8859-1")
+    _write(os.path.join(folder, "c.csv"), DAILY.splitlines(True)[0] + "9,C,MUG,1,12/1/2010 8:26,2,1,UK\n", "ISO-8859-1")
+    _write(os.path.join(folder, "d.csv"), "", "ISO-8859-1")
+    _write(os.path.join(folder, "_e.csv"), "x\n", "ISO-8859-1")
+    ch = SalesChain.from_feeds(read_daily_csv(spark, folder), read_daily_csv(spark, _daily_empty(scratch)))
+    alone = SalesChain.from_feeds(read_daily_csv(spark, os.path.join(folder, "a.csv")), read_daily_csv(spark, _daily_empty(scratch)))
+    cells = lambda df: {(r.invoice_no, r.stock_code, r.description, r.quantity, str(r.unit_price), r.customer_id, r.country) for r in df.collect()}
+    assert cells(ch.staging) - cells(alone.staging) == {("7", "B", 'CAFÉ ""X""', 9, "3.0000", "1", "UK"), ("9", "C", "MUG", 1, "2.0000", "1", "UK")}
+    assert cells(alone.staging) <= cells(ch.staging) and ch.staging_rejected.count() == alone.staging_rejected.count() + 1
+    order = [r.file.rsplit("/", 1)[1] for r in ch.raw_daily.orderBy("load_order").select("load_order.file").collect()]
+    assert order == sorted(order)  # load order follows the files, not their headers
+    _write(os.path.join(folder, "f.csv"), "InvoiceNo,StockCode\n1,2\n", "ISO-8859-1")
+    with pytest.raises(ValueError, match="header of .*f.csv.*Description"):
+        read_daily_csv(spark, folder)
+    with pytest.raises(FileNotFoundError):
+        read_daily_csv(spark, os.path.join(scratch, "nowhere"))
 
 
 def test_surplus_and_short_lines_are_rejected_whole(spark, scratch):
