@@ -49,27 +49,44 @@ def hilbert_index(codes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def text_prefix(col: Column) -> Column:
-    """A number that grows with the first seven bytes of a text, so that
-    quantiles of texts follow their order."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+def _text_cuts(df: DataFrame, dim: Column, n_cuts: int) -> list[str]:
+    """At most n_cuts whole texts that part the rows into near equal runs: all
+    texts, if there are no more.  Rows are counted per distinct text; running
+    counts are a task's own plus those of the tasks before it."""
+    counts = df.select(dim.alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.repartitionByRange(partitions(df.sparkSession), "v").withColumn("part", F.spark_partition_id())
+    counts = stored(counts, "texts")
+    parts = {r["part"]: (r["n"], r["k"]) for r in counts.groupBy("part").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()}
+    total, texts = (sum(x[i] for x in parts.values()) for i in (0, 1))
+    if texts <= n_cuts:
+        return sorted((r["v"] for r in counts.select("v").collect()), key=str.encode)
+    before, ahead = {}, 0
+    for part in sorted(parts):
+        before[part], ahead = ahead, ahead + parts[part][0]
+    starts = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])  # one number a task
+    upto = starts[F.col("part")] + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    share = lambda c: F.floor(c * F.lit(n_cuts) / F.lit(total))
+    crossing = counts.withColumn("_upto", upto).where(share(F.col("_upto")) > share(F.col("_upto") - F.col("n")))
+    return sorted((r["v"] for r in crossing.select("v").collect()), key=str.encode)
 
 
 def quantised(df: DataFrame, dims: list[Column], bits: int = BITS) -> list[Column]:
     """One code column per dimension: 0 for null, else 1 + the number of
-    quantile cuts at or below the value.  Cuts come from one aggregate over all
-    rows; they are at most 2**bits - 2 numbers a dimension."""
+    cuts at or below the whole value.  Cuts are quantiles over all rows, at most
+    2**bits - 2 values a dimension."""
     n_cuts = (1 << bits) - 2
     at = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
-    cuts = df.select(*[F.percentile_approx(d.cast("double"), at, 2000).alias(f"c{i}") for i, d in enumerate(dims)]).first()
+    kinds = [f.dataType for f in df.select(*[d.alias(f"d{i}") for i, d in enumerate(dims)]).schema.fields]
+    numbers = [i for i, kind in enumerate(kinds) if not isinstance(kind, T.StringType)]
+    found = df.select(*[F.percentile_approx(dims[i], at, 2000).alias(f"c{i}") for i in numbers]).first() if numbers else None
     codes = []
-    for i, d in enumerate(dims):
-        edges = sorted(set(cuts[i] or []))
-        v = d.cast("double")
+    for i, (d, kind) in enumerate(zip(dims, kinds, strict=True)):
+        edges = sorted(set(found[f"c{i}"] or [])) if i in numbers else _text_cuts(df, d, n_cuts)
         above = F.lit(1)
         for e in edges:
-            above = above + (v >= F.lit(float(e))).cast("int")
-        codes.append(F.when(v.isNull() | F.isnan(v), 0).otherwise(above).cast("int"))
+            above = above + (d >= F.lit(e).cast(kind)).cast("int")
+        none = d.isNull() | F.isnan(d) if isinstance(kind, (T.DoubleType, T.FloatType)) else d.isNull()
+        codes.append(F.when(none, 0).otherwise(above).cast("int"))
     return codes
 
 
@@ -141,7 +158,7 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 def document_dims() -> list[Column]:
     """The metadata dimensions documents are pruned by."""
-    return [text_prefix(F.col("lang")), text_prefix(F.col("source")), F.col("size"), F.col("doc_id")]
+    return [F.col("lang"), F.col("source"), F.col("size"), F.col("doc_id")]
 
 
 def op2_query(spark, sf_dir: str, n_shards: int = 24) -> DataFrame:

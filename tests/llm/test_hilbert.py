@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.hilbert import document_dims, hilbert_index, hilbert_shards, op2_query, write_shards
+from ledgerstar.llm.hilbert import document_dims, hilbert_index, hilbert_shards, op2_query, quantised, write_shards
 
 
 @pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3), (4, 2)])
@@ -61,3 +61,45 @@ def test_bytes_law_is_near_equal_and_files_prune(spark, scratch):
     spans = spark.read.parquet(f"{scratch}/shards").groupBy("shard").agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).collect()
     hit = sum(r.a0 <= 5 and r.a1 >= 0 and r.b0 <= 5 and r.b1 >= 0 for r in spans)
     assert len(spans) == 16 and hit <= 6  # a corner of both dimensions is in few files
+
+
+def test_whole_texts_and_large_numbers_are_told_apart(spark):
+    big = 1 << 40
+    df = spark.createDataFrame([(f"common_crawl_{i % 20}", big + i % 4, None if i % 7 == 0 else float("nan") if i % 7 == 1 else 1.0) for i in range(400)], "source string, n long, x double")
+    rows = df.select("source", "n", "x", *[c.alias(f"c{i}") for i, c in enumerate(quantised(df, [F.col("source"), F.col("n"), F.col("x")]))]).collect()
+    names = sorted({r.source for r in rows})
+    assert all(r.c0 == 2 + names.index(r.source) for r in rows)
+    assert {r.n: r.c1 for r in rows} == {big + k: {r.c1 for r in rows if r.n == big + k}.pop() for k in range(4)} and len({r.c1 for r in rows}) == 4
+    assert all((r.c2 == 0) == (r.x is None or r.x != r.x) for r in rows)
+    many = spark.range(5000).select(F.concat(F.lit("https://example.org/"), F.lpad((F.col("id") % 1000).cast("string"), 4, "0")).alias("s"))
+    codes = Counter(r.c for r in many.select(quantised(many, [F.col("s")])[0].alias("c")).collect())
+    assert 29 <= len(codes) <= 31 and max(codes.values()) < 2 * 5000 / 30
+
+
+def test_shards_equal_a_plain_walk_along_the_curve(spark, documents):
+    """Codes, curve place, rank, shard and slot by plain Python over all rows."""
+    langs, sources = ["de", "en", None], ["s1", "s2", "s3", "s4"]
+    rows = [(i, "w" * (i * 37 % 11), langs[i % 3], sources[i * 7 % 4]) for i in range(150)]
+    got = {r.doc_id: (r.shard, r.slot) for r in hilbert_shards(sized(documents(rows)), [F.col("lang"), F.col("source")], ["doc_id"], 7, bits=3).collect()}
+    code = lambda v, values: 0 if v is None else 2 + values.index(v)
+
+    def place(x, y, bits=3):  # the textbook walk: quadrant by quadrant, turning and mirroring
+        d, s = 0, 1 << bits - 1
+        while s:
+            rx, ry = int(x & s > 0), int(y & s > 0)
+            d += s * s * (3 * rx ^ ry)
+            if not ry:
+                if rx:
+                    x, y = 2 * s - 1 - x & 2 * s - 1, 2 * s - 1 - y & 2 * s - 1
+                x, y = y, x
+            s >>= 1
+        return d
+
+    cells = {(x, y): place(x, y) for x in range(8) for y in range(8)}
+    own = {(x, y): int(hilbert_index(np.array([[x, y]]), 3)[0]) for x in range(8) for y in range(8)}
+    turned = [{(x, y): d for (y, x), d in cells.items()}, cells]
+    assert own in turned  # the same curve, up to the order of the axes
+    order = sorted(rows, key=lambda r: (own[code(r[2], ["de", "en"]), code(r[3], sources)], r[0]))
+    for rank, r in enumerate(order):
+        shard = rank * 7 // 150
+        assert got[r[0]] == (shard, rank - -(-shard * 150 // 7))
