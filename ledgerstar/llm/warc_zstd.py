@@ -32,7 +32,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import new_folder, partitions, table
+from .shared import new_folder, partitions, stored, table
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -41,6 +41,7 @@ FOOTER = struct.Struct("<IBI")
 ENTRY = struct.Struct("<III")
 
 FRAME_BYTES = 1 << 20
+FRAMES_A_TASK = 256
 BUNDLE_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 INDEX = ("page_id long, record_type string, refers_to long, bundle string, frame int, frame_start long, "
@@ -233,19 +234,26 @@ RECORD_SCHEMA = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()
 
 def read_archives(index: DataFrame) -> DataFrame:
     """Every record of the bundles that the index names, frame by frame: one
-    row per (bundle, frame) is dealt out, so a task holds one frame at a time."""
+    row per (bundle, frame) is dealt out in ranges, whose number goes by the
+    frames, and a task holds one frame (and one seek table) at a time."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle, table_ = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 fs, inner = filesystem(row["bundle"])
                 with fs.open_input_file(inner) as f:
-                    data = read_frame(f, *seek_table(f)[row["frame"]])
+                    if row["bundle"] != bundle:
+                        bundle, table_ = row["bundle"], seek_table(f)
+                    data = read_frame(f, *table_[row["frame"]])
                 yield pa.RecordBatch.from_pylist(list(parse_records(data)), schema=RECORD_SCHEMA)
 
     spark = index.sparkSession
-    frames = index.select("bundle", "frame").distinct().repartition(partitions(spark), "bundle", "frame")
-    return frames.mapInArrow(read, RECORDS)
+    frames = stored(index.select("bundle", "frame").distinct(), "warc-frames")
+    n = frames.count()
+    n = max(1, min(n, max(partitions(spark), -(-n // FRAMES_A_TASK))))
+    # ranges of a given number: neither the planner nor adaptive execution merges them
+    return frames.repartitionByRange(n, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInArrow(read, RECORDS)
 
 
 def fetch(index: DataFrame, ids: DataFrame) -> DataFrame:

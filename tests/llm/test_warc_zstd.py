@@ -60,3 +60,11 @@ def test_empty_table_and_given_table(spark, sf):
     assert read_archives(write_archives(empty, new_folder(spark, "warc"))).collect() == []
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted(map(tuple, op10_query(spark, sf).collect()), key=repr) == expected(rows)
+
+
+def test_frames_are_read_by_many_tasks(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i}" * 30) for i in range(200)], "page_id long, url string, html string").coalesce(1)
+    index = write_archives(pages, new_folder(spark, "warc"), frame_bytes=1000)
+    frames = index.select("bundle", "frame").distinct().count()
+    tasks = read_archives(index).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert frames > 16 and len(tasks) >= 6 and max(r["count"] for r in tasks) <= 200 // 2
