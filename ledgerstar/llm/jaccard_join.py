@@ -50,8 +50,8 @@ from .textscan import give_back, mixed, shingle_sets, slices
 
 HEAVY = 64  # contents of more documents stand last; doubled while MOST_HEAVY are exceeded
 MOST_HEAVY = 1 << 22
-PART_KEYS = 2_000_000  # join keys that one reduce step holds
-HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
+PART_KEYS = 1_000_000  # join keys that one reduce step holds
+HOT_KEYS = 500_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
 INFO = "doc_id long, n long, d1 long, d2 long, sketch binary, wide binary"
@@ -202,8 +202,9 @@ def heavy_contents(docs: DataFrame, total: int, part_keys: int, over: int) -> tu
     def counted(part: int, raw: list) -> pa.RecordBatch:
         places = np.zeros((sum(x.as_buffer().size for x in raw) // 3, 4), np.uint8)
         places[:, :3] = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in raw]).reshape(-1, 3)
-        places = np.sort(places.view("<u4").ravel())
-        at = np.flatnonzero(np.diff(places.astype(np.int64), prepend=-1))
+        places = places.view("<u4").ravel()
+        places.sort()
+        at = np.flatnonzero(np.concatenate([np.ones(min(1, len(places)), bool), places[1:] != places[:-1]]))
         count = np.diff(np.append(at, len(places)))
         ids = part << 24 | places[at[count > over]].astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(mixed(ids.astype(np.uint64)).astype(np.int64)), pa.array(count[count > over])], names=["id", "place", "count"])
