@@ -50,8 +50,8 @@ from .textscan import give_back, mixed, shingle_sets, slices
 
 HEAVY = 64  # contents of more documents stand last; doubled while MOST_HEAVY are exceeded
 MOST_HEAVY = 1 << 22
-PART_KEYS = 1_000_000  # join keys that one reduce step holds
-HOT_KEYS = 500_000  # a key held by more documents is dealt over several parts
+PART_KEYS = 2_000_000  # join keys that one reduce step holds
+HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
 INFO = "doc_id long, n long, d1 long, d2 long, sketch binary, wide binary"
@@ -477,7 +477,7 @@ class JaccardJoin:
         self.scan = scan = scanned(self.docs)
         self.info = document_info(scan)
         chunks, keys = self.info.agg(F.sum("n"), F.sum(F.floor(F.col("n") / 3) + 1)).first()
-        heavy, parts = heavy_contents(self.docs, 2 * int(chunks or 0), 2 * part_keys, min(HEAVY, hot_keys))
+        heavy, parts = heavy_contents(self.docs, 2 * int(chunks or 0), part_keys, min(HEAVY, hot_keys))
         self.buckets = buckets(self.docs, heavy, parts, int(keys or 0), part_keys, hot_keys)
 
     def _members(self) -> DataFrame:
