@@ -99,3 +99,38 @@ def test_category_upper_cases_once(spark):
     df = spark.createDataFrame([("red mug", 1, 1)], "description string, quantity int, unit_price int").select("description", "quantity", F.col("unit_price").cast("decimal(12,4)").alias("unit_price"), (F.col("quantity") <= 0).alias("is_return"))
     plan = priced_lines(df.repartition(2))._jdf.queryExecution().executedPlan().toString()
     assert plan.lower().count("upper(") <= 2  # the plan tree and its formatted details name it at most once each
+
+
+def test_only_measured_hot_codes_are_dealt(spark):
+    from ledgerstar.operators.canonical import attach_canonical, measured_names
+
+    # half of the lines one product, all of them blank; another sold for nothing only
+    lines = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("HOT")).when(F.col("id") % 12 == 1, F.lit("FREE"))
+        .otherwise(F.concat(F.lit("P"), F.col("id") % 400)).alias("stock_code"),
+        F.when(F.col("id") % 2 == 0, F.lit(" ")).otherwise(F.lit("red mug")).alias("description"),
+        F.col("id").cast("string").alias("dedup_key")).withColumn("ok", F.col("stock_code") != "FREE")
+    names = measured_names(lines, F.col("ok"))
+    measured = {r.stock_code: (r.canonical_description, r.lines) for r in names.collect()}
+    assert measured["HOT"] == (None, 3000) and measured["FREE"] == (None, 500)
+    assert {v[0] for k, v in measured.items() if k[0] == "P"} == {"RED MUG"}
+    assert sum(n for _, n in measured.values()) == 6000
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = attach_canonical(lines.drop("description", "ok"), names)
+        rows = joined.select("stock_code", "canonical_description", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert joined.columns == ["stock_code", "dedup_key", "canonical_description"]
+    tasks: dict[str, set] = {}
+    per_task: dict[int, int] = {}
+    for r in rows:
+        tasks.setdefault(r.stock_code, set()).add(r.p)
+        per_task[r.p] = per_task.get(r.p, 0) + 1
+        assert r.canonical_description == ("RED MUG" if r.stock_code[0] == "P" else None)
+    assert len(rows) == 6000 and max(per_task.values()) < 1800
+    assert len(tasks["HOT"]) > 4 and all(len(t) == 1 for k, t in tasks.items() if k[0] == "P")
