@@ -18,8 +18,8 @@ what it takes for heavy by mistake stands last for all documents alike.  The
 number of chunks is such that a set leaves more than d + 1 of them non-empty
 (one chunk per shingle in small bands; in larger ones the odds of a shortfall
 are below 1e-20).  Candidates must pass the size bound and the Hamming bound,
-first of a 512-bit parity sketch, then for larger sets of one of at least four
-bits a shingle (folded to the smaller one's bits); then the sets are compared.
+first of a 512-bit parity sketch, then for larger sets of one of at least a bit
+a shingle (folded to the smaller one's bits); then the sets are compared.
 
 For components not all pairs are needed: in each bucket every document is first
 compared with the smallest one only; then documents of one bucket that are not
@@ -56,7 +56,7 @@ SEEN = 100_000  # classes a task remembers, to join copies it meets once
 FIRST_CHUNKED_BAND = 3  # bands hold sizes 4**b up to 4**(b + 1)
 INFO = "doc_id long, n long, d1 long, d2 long, sketch binary, wide binary"
 SKETCH_WORDS = 8
-WIDE_FROM = 128  # sets of at least so many shingles have a wide sketch too
+WIDE_FROM = 64 * SKETCH_WORDS  # sets of more shingles have a wide sketch too
 BLOOM_BITS = 1 << 26  # at most so many bits say which documents' sets are wanted
 
 
@@ -103,10 +103,11 @@ def folded(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def wide_sketch(values: np.ndarray) -> bytes | None:
-    """A parity sketch of at least four bits a shingle, a power of two."""
-    if len(values) < WIDE_FROM:
+    """A parity sketch of at least a bit a shingle, a power of two: sets of one
+    size that share under three fifths are told apart by it."""
+    if len(values) <= WIDE_FROM:
         return None
-    bits = 1 << (4 * len(values) - 1).bit_length()
+    bits = 1 << (len(values) - 1).bit_length()
     flips = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
