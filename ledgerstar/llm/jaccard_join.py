@@ -13,8 +13,9 @@ one: pigeonhole.  Those chunks are the join keys; nothing is capped, so no link
 can be missed.  The order puts contents that more than HEAVY documents hold last
 (all chunks of all documents are counted for that, each in its own part of the
 keys), so a passage that many documents share is no key of a document that has
-enough chunks beside it.  Heavy contents travel as a bit filter of bounded size;
-what it takes for heavy by mistake stands last for all documents alike.  The
+enough chunks beside it.  A counter serves up to COUNTED chunks, so a content is
+also heavy where its counter is; heavy contents travel as a bit filter of bounded
+size; what is taken for heavy by mistake stands last for all documents alike.  The
 number of chunks is such that a set leaves more than d + 1 of them non-empty
 (one chunk per shingle in small bands; in larger ones the odds of a shortfall
 are below 1e-20).  Candidates must pass the size bound and the Hamming bound,
@@ -50,6 +51,7 @@ from .textscan import give_back, mixed, shingle_sets, slices
 
 HEAVY = 64  # contents of more documents stand last; doubled while MOST_HEAVY are exceeded
 MOST_HEAVY = 1 << 22
+COUNTED = 32  # chunks a counter serves on average, at most; fewer than HEAVY
 PART_KEYS = 2_000_000  # join keys that one reduce step holds
 HOT_KEYS = 1_000_000  # a key held by more documents is dealt over several parts
 SEEN = 100_000  # classes a task remembers, to join copies it meets once
@@ -167,22 +169,32 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def content_ids(keys: np.ndarray, n_parts: int) -> np.ndarray:
-    """A content's part and its place among 2**24 in it, as one number."""
-    return ((keys % np.uint64(n_parts)) << np.uint64(24) | keys >> np.uint64(40)).astype(np.int64)
+    """A content's part and its counter among 2**16 in it, as one number."""
+    return ((keys % np.uint64(n_parts)) << np.uint64(16) | keys >> np.uint64(48)).astype(np.int64)
+
+
+def planes(ids: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as differences, equal bytes of all in a row, so
+    that the shuffle's compression finds them."""
+    return np.diff(ids, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(raw) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").ravel())
 
 
 def heavy_contents(docs: DataFrame, total: int, part_keys: int, over: int) -> tuple[DataFrame, int]:
-    """(stored (id, place, count), parts): the contents that more than `over`
-    documents hold, out of all chunks of all documents; copies that a task meets
-    count once.  Three bytes a chunk travel, in blocks per task and part."""
+    """(stored (id, place, count), parts): the counters that more than `over`
+    documents' chunks meet, out of all chunks of all documents; copies that a
+    task meets count once.  Two bytes a chunk travel, in blocks per task and part."""
     spark = docs.sparkSession
-    n_parts = max(1, -(-total // part_keys))
+    n_parts = max(1, -(-total // min(part_keys, COUNTED << 16)))
 
     def blocks(ids: np.ndarray) -> pa.RecordBatch:
         ids = np.sort(ids)
-        part = ids >> 24
+        part = ids >> 16
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        raw = np.ascontiguousarray((ids & 0xFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        raw = (ids & 0xFFFF).astype("<u2")
         return pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([raw[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(ids)), strict=True)], pa.binary())], names=["part", "places"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,28 +212,22 @@ def heavy_contents(docs: DataFrame, total: int, part_keys: int, over: int) -> tu
         held = []
         give_back()
 
-    def counted(part: int, raw: list) -> pa.RecordBatch:
-        places = np.zeros((sum(x.as_buffer().size for x in raw) // 3, 4), np.uint8)
-        places[:, :3] = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in raw]).reshape(-1, 3)
-        places = places.view("<u4").ravel()
-        places.sort()
-        at = np.flatnonzero(np.concatenate([np.ones(min(1, len(places)), bool), places[1:] != places[:-1]]))
-        count = np.diff(np.append(at, len(places)))
-        ids = part << 24 | places[at[count > over]].astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(mixed(ids.astype(np.uint64)).astype(np.int64)), pa.array(count[count > over])], names=["id", "place", "count"])
+    def counted(part: int, count: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(count > over)
+        ids = part << 16 | at
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(mixed(ids.astype(np.uint64)).astype(np.int64)), pa.array(count[at])], names=["id", "place", "count"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, raw = None, []
+        here, sums = None, np.zeros(1 << 16, np.int64)
         for batch in batches:
             for part, places in zip(batch["part"].to_pylist(), batch["places"], strict=True):
-                if part != here and raw:
-                    yield counted(here, raw)
-                    raw = []
-                here = part
-                raw.append(places)
-        if raw:
-            yield counted(here, raw)
-        raw = []
+                if part != here:
+                    if here is not None:
+                        yield counted(here, sums)
+                    here, sums = part, np.zeros(1 << 16, np.int64)
+                sums += np.bincount(np.frombuffer(places.as_buffer(), "<u2"), minlength=1 << 16)
+        if here is not None:
+            yield counted(here, sums)
         give_back()
 
     keyed = docs.mapInArrow(emit, "part long, places binary")
