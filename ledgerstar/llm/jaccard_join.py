@@ -262,7 +262,7 @@ def buckets(docs: DataFrame, heavy: DataFrame, heavy_parts: int, total_keys: int
             salt = mixed(owners[hot].astype(np.uint64))
             width = np.array([spread.value[int(x)] for x in content_ids(keys[hot], heavy_parts)], np.uint64)
             part[hot] = (part[hot] + salt % width) % np.uint64(n_parts)
-        order = np.argsort(part, kind="stable")
+        order = np.lexsort((owners, part))
         part, keys, owners, hot = part[order], keys[order], owners[order], hot[order]
         cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         ends = np.append(cuts[1:], len(part))
@@ -271,7 +271,7 @@ def buckets(docs: DataFrame, heavy: DataFrame, heavy_parts: int, total_keys: int
         whole = [np.where(hot[a:b], keys[a:b], 0).astype("<u8").tobytes() if hot[a:b].any() else None for a, b in zip(cuts, ends, strict=True)]
         return pa.RecordBatch.from_arrays([
             pa.array(part[cuts].astype(np.int64)), pa.array([short[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-            pa.array([owners[a:b].astype("<i8").tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()), pa.array(whole, pa.binary())],
+            pa.array([planes(owners[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()), pa.array(whole, pa.binary())],
             names=["part", "keys", "docs", "hot"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +301,7 @@ def buckets(docs: DataFrame, heavy: DataFrame, heavy_parts: int, total_keys: int
 
     def grouped(part, raw) -> pa.RecordBatch:
         keys = np.concatenate([np.frombuffer(x[0].as_buffer(), "<u4") for x in raw])
-        owners = np.concatenate([np.frombuffer(x[1].as_buffer(), "<i8") for x in raw])
+        owners = np.concatenate([from_planes(x[1].as_buffer()) for x in raw])
         whole = np.concatenate([np.frombuffer(x[2].as_buffer(), "<u8") if x[2].is_valid else np.zeros(x[0].as_buffer().size // 4, np.uint64) for x in raw])
         order = np.lexsort((owners, keys))
         keys, owners, whole = keys[order], owners[order], whole[order]
