@@ -75,3 +75,21 @@ def test_stored_mart_scan_reads_only_needed_columns(spark, scratch):
     scans = [l for l in _plan(q1).splitlines() if "FileScan parquet" in l]
     fact_scan = [l for l in scans if "sale_date" in l and "net_revenue" in l][0]
     assert "ReadSchema: struct<sale_date:date,net_revenue:decimal(14,4)>" in fact_scan
+
+
+def test_route_filter_copies_no_parse(spark):
+    ch = chain_for(spark, SF_SMALL)
+    for df in (ch.staging, ch.staging_rejected, ch.intermediate):
+        logical = df._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in logical.splitlines() if "Filter " in line]
+        assert filters and not any("RLIKE" in line or "gettimestamp" in line for line in filters)
+
+
+def test_chain_runs_in_methods_that_the_jvm_compiles(spark):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    chain_for(spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_typing_is_not_merged_to_few_tasks(spark):
+    assert "REPARTITION_BY_NUM" in _plan(chain_for(spark, SF_SMALL).raw)
