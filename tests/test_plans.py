@@ -93,3 +93,19 @@ def test_chain_runs_in_methods_that_the_jvm_compiles(spark):
 
 def test_typing_is_not_merged_to_few_tasks(spark):
     assert "REPARTITION_BY_NUM" in _plan(chain_for(spark, SF_SMALL).raw)
+
+
+def test_foreign_keys_read_each_dimension_once(spark):
+    from ledgerstar.operators import quality
+
+    fact = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), (None, "x")], "code string, country string")
+    tables = {"f": fact, "g": fact.filter("code = 'a'"),
+              "dim_code": spark.createDataFrame([("a",)], "code string").alias("only_codes"),
+              "dim_country": spark.createDataFrame([("x",)], "country string").alias("only_countries")}
+    fks = [("f", "code", "dim_code", "code"), ("f", "country", "dim_country", "country"),
+           ("g", "code", "dim_code", "code"), ("g", "country", "dim_country", "country")]
+    report = quality.fk_violations(tables, fks)
+    analyzed = report._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("SubqueryAlias only_codes") == 1 and analyzed.count("SubqueryAlias only_countries") == 1
+    got = {(r.fact_table, r.fact_column): r.violations for r in report.collect()}
+    assert got == {("f", "code"): 3, ("f", "country"): 1, ("g", "code"): 0, ("g", "country"): 0}
