@@ -122,6 +122,17 @@ class SalesChain:
     def rejected(self) -> DataFrame:
         return self.staging_rejected.unionByName(self.intermediate_rejected)
 
+    def with_layers(self, staging: DataFrame | None = None, intermediate: DataFrame | None = None) -> SalesChain:
+        """This chain on routed layers that are already there (its own, stored and
+        read back): what is made of them starts there, where each table would
+        otherwise run the chain from raw by itself."""
+        out = SalesChain(self.raw, self.keywords, self.dedup_method, self.null_text, self.country_null_text, self.date_formats)
+        if staging is not None:
+            out._routed_staging = staging
+        if intermediate is not None:
+            out._routed_intermediate = intermediate
+        return out
+
     # -- mart ------------------------------------------------------------
     @cached_property
     def mart(self) -> dict[str, DataFrame]:

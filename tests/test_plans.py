@@ -109,3 +109,11 @@ def test_foreign_keys_read_each_dimension_once(spark):
     assert analyzed.count("SubqueryAlias only_codes") == 1 and analyzed.count("SubqueryAlias only_countries") == 1
     got = {(r.fact_table, r.fact_column): r.violations for r in report.collect()}
     assert got == {("f", "code"): 3, ("f", "country"): 1, ("g", "code"): 0, ("g", "country"): 0}
+
+
+def test_queries_over_several_tables_read_a_stored_layer(spark):
+    from ledgerstar.plans.catalog import registry
+
+    for key, layer in [("fk_violations", "intermediate"), ("q3a_top_products_net", "intermediate"), ("rejected_by_reason", "staging")]:
+        files = registry()[key](spark, SF_SMALL).inputFiles()
+        assert files and all(f"/views/{layer}/lines/" in f for f in files)
