@@ -117,3 +117,41 @@ def test_queries_over_several_tables_read_a_stored_layer(spark):
     for key, layer in [("fk_violations", "intermediate"), ("q3a_top_products_net", "intermediate"), ("rejected_by_reason", "staging")]:
         files = registry()[key](spark, SF_SMALL).inputFiles()
         assert files and all(f"/views/{layer}/lines/" in f for f in files)
+
+
+def test_typing_stage_is_one_compiled_method(spark):
+    import re
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ch = chain_for(spark, SF_SMALL)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        for df in (ch.staging, ch._routed_staging, ch.deduped):
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))]
+            assert sizes and max(sizes) <= 8000  # beyond, Spark takes the stage apart, a copy of the line an operator
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_texts_of_orders_and_parts_are_made_once(spark):
+    logical = chain_for(spark, SF_SMALL).raw._jdf.queryExecution().optimizedPlan().toString()
+    top = logical[:logical.index("Join Inner")]
+    assert "date_format" not in top and "upper(" not in top and "decimal(12,2)" not in top
+
+
+def test_customer_text_is_what_the_pattern_leaves(spark):
+    values = ["12.0", "012.0", "1.05", ".0", "12.0.0", "12.00", "x12.0", "-1.0", "12", "", " 7.0\t", "1\n2.0", "\u0663.0", None]
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    got = df.select(tx.customer_text(F.col("c")).alias("a"), F.regexp_replace(tx.strip(F.col("c")), r"^(\d+)\.0$", "$1").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+
+
+def test_missing_text_and_price_out_of_range(spark):
+    import pytest
+
+    df = spark.createDataFrame([(None,), (" a ",), ("",)], "c string")
+    assert [r.x for r in df.select(tx.text_or_none(F.col("c"), " none ").alias("x")).collect()] == ["none", "a", ""]
+    price = spark.createDataFrame([("1e30",)], "c string").select(tx.price_value(F.col("c")))
+    with pytest.raises(Exception, match="out of range"):
+        price.collect()
