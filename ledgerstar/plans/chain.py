@@ -105,9 +105,14 @@ class SalesChain:
     def canonical(self) -> DataFrame:
         return cn.canonical_descriptions(self.description_frequencies)
 
+    @cached_property
+    def names(self) -> DataFrame:
+        """Measured canonical name of every product of the deduplicated lines."""
+        return rules.product_names(self.classified)
+
     @cached_property
     def _routed_intermediate(self) -> DataFrame:
-        return rules.routed_intermediate(self.staging, self.keywords, self.dedup_method)
+        return rules.routed_clean(self.classified, self.names, self.keywords)
 
     @cached_property
     def intermediate_rejected(self) -> DataFrame:
@@ -122,15 +127,23 @@ class SalesChain:
     def rejected(self) -> DataFrame:
         return self.staging_rejected.unionByName(self.intermediate_rejected)
 
-    def with_layers(self, staging: DataFrame | None = None, intermediate: DataFrame | None = None) -> SalesChain:
+    def with_layers(self, staging: DataFrame | None = None, intermediate: DataFrame | None = None, **steps: DataFrame) -> SalesChain:
         """This chain on routed layers that are already there (its own, stored and
         read back): what is made of them starts there, where each table would
-        otherwise run the chain from raw by itself."""
+        otherwise run the chain from raw by itself.  `steps` are frames of this
+        chain by their name (staged lines as `staged`, `classified`, `names`)."""
         out = SalesChain(self.raw, self.keywords, self.dedup_method, self.null_text, self.country_null_text, self.date_formats)
         if staging is not None:
             out._routed_staging = staging
         if intermediate is not None:
             out._routed_intermediate = intermediate
+        if "staged" in steps:
+            out.staging = steps.pop("staged")
+        for name in ("classified", "names"):
+            if name in steps:
+                setattr(out, name, steps.pop(name))
+        if steps:
+            raise TypeError(f"no steps of the chain: {sorted(steps)}")
         return out
 
     # -- mart ------------------------------------------------------------
